@@ -6,8 +6,6 @@ from pyspark.sql import Column, functions as F
 # stripped.  The same class text is valid in Java and RE2 patterns.
 WHITE = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
-STRIP_PATTERN = f"^[{WHITE}]+|[{WHITE}]+$"
-BLANK_PATTERN = f"^[{WHITE}]*$"
 
 
 def column(c) -> Column:
@@ -16,7 +14,6 @@ def column(c) -> Column:
 
 def strip(c) -> Column:
     """Remove white space of any kind at both ends."""
-    # (?d): "$" must not stop before a final line break of another kind.
     return F.regexp_replace(column(c), r"\A[" + WHITE + r"]+|[" + WHITE + r"]+\z", "")
 
 
@@ -24,14 +21,25 @@ def is_blank(c) -> Column:
     return column(c).rlike(r"\A[" + WHITE + r"]*\z")
 
 
-def first_capture(c, pattern: str, flags: str = "i") -> Column:
-    """First group of the first match, stripped; null without a match.
+def capture(c, pattern: str, flags: str = "i") -> Column:
+    """First group of the first match, ``''`` without a match.
+
+    ``d`` makes only a line feed end a line.
+    """
+    return F.regexp_extract(column(c), f"(?d{flags}){pattern}", 1)
+
 
-    The group must not match the empty text, so an empty result means no
-    match and the pattern runs once.  ``d`` makes only a line feed end a line.
+def captured(c) -> Column:
+    """A capture stripped; null without a match.
+
+    The group must not match the empty text, so that empty means no match.
     """
-    got = F.regexp_extract(column(c), f"(?d{flags}){pattern}", 1)
-    return F.when(got != "", strip(got))
+    return F.when(column(c) != "", strip(c))
+
+
+def first_capture(c, pattern: str, flags: str = "i") -> Column:
+    """First group of the first match, stripped; null without a match."""
+    return captured(capture(c, pattern, flags))
 
 
 def normalize_text(c) -> Column:

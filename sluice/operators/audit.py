@@ -4,6 +4,8 @@ Every event has a key, and a replayed event (a retried batch, a second run)
 repeats its key, so reading counts it once.
 """
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.model import AUDIT_COUNTERS, AUDIT_EVENT_SCHEMA, ERROR_CHARS
@@ -12,6 +14,8 @@ from sluice.model import AUDIT_COUNTERS, AUDIT_EVENT_SCHEMA, ERROR_CHARS
 def event(load_id, seq, key, process_name, at, status=None, reconciliation=None,
           error=None, **deltas):
     """One event row; counters not named are 0."""
+    if isinstance(at, str):
+        at = datetime.fromisoformat(at)
     unknown = set(deltas) - set(AUDIT_COUNTERS)
     if unknown:
         raise ValueError(f"unknown counters: {sorted(unknown)}")

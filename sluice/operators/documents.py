@@ -6,7 +6,9 @@ One narrow job over (file_path, file_name, text); all expressions built in.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.hashing import document_key
-from sluice.functions.text import column, cut, first_capture, normalize_text, strip
+from sluice.functions.text import (
+    capture, captured, column, cut, first_capture, normalize_text, strip,
+)
 from sluice.model import (
     CLASSIFIED_BONUS, DIRECT_TEXT_MIN_CHARS, DOCUMENT_COLUMNS, PREVIEW_CHARS, REVIEW_BELOW,
 )
@@ -92,6 +94,17 @@ def nine_fields(text) -> dict:
     return {name: first_capture(text, pattern) for name, pattern in FIELD_PATTERNS.items()}
 
 
+def compute_once(df: DataFrame, **columns) -> DataFrame:
+    """Add columns that a filter further up cannot pull down and repeat.
+
+    A filter on an ordinary column is moved below the projection with the
+    whole expression copied into it; patterns over long texts would then run
+    many times per row.  Columns of a generated row stay where they are.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
+
+
 def ten_fields(text) -> dict:
     """The labelled variant; an empty capture gives way to the next pattern."""
     out = {}
@@ -139,10 +152,12 @@ def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
     base = documents.filter(F.col("text").isNotNull()).select(
         "file_path", "file_name",
         (document_id if document_id is not None else document_key("file_path")).alias("document_id"),
-        method_label("text", fallback_text).alias("extraction_method"),
-        normalize_text(raw).alias("full_text"),
+        method_label("text", fallback_text).alias("extraction_method"), raw.alias("_raw"),
     )
-    parsed = base.withColumns({"document_type": classify("full_text", parity), **nine_fields("full_text")})
+    base = compute_once(base, full_text=normalize_text("_raw")).drop("_raw")
+    captures = {f"_{n}": capture("full_text", p) for n, p in FIELD_PATTERNS.items()}
+    parsed = compute_once(base, document_type=classify("full_text", parity), **captures)
+    parsed = parsed.withColumns({n: captured(f"_{n}") for n in FIELDS})
     scored = parsed.withColumn("confidence_score", confidence())
     record = scored.withColumns({
         "run_id": F.lit(run_id),

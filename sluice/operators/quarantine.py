@@ -12,7 +12,7 @@ def payload_source(df: DataFrame, columns=SOURCE_COLUMNS):
     kinds = dict(df.dtypes)
     return [
         F.col(c) if kinds[c] in numeric or kinds[c] == "array<string>"
-        else F.col(c).cast("double") if kinds[c].startswith("decimal")
+        else F.col(c).cast("double").alias(c) if kinds[c].startswith("decimal")
         else F.col(c).cast("string").alias(c)
         for c in columns
     ]

@@ -13,8 +13,7 @@ from sluice.model import (
 )
 from sluice.operators.dedupe import flag_duplicates_sized, surrogate_id
 from sluice.operators.rules import (
-    any_missing, broken_names, claim_rules, final_claim_types, rule_counts, split_required,
-    type_claims,
+    any_missing, broken_names, claim_rules, final_claim_types, rule_counts, type_claims,
 )
 from sluice.operators.schema import (
     check_names, normalize_columns, normalize_names, out_of_order, tag_load,
@@ -48,11 +47,18 @@ def stage_output(clean, stage_path, load_id, run_ts, expected, row_id="stg_claim
     return Output(stage_path, f"load_id={load_id}", rows, expected)
 
 
+def must_fit(name, value):
+    """The converted column; text that does not convert ends the job."""
+    message = F.concat(F.lit(f"{name}: value does not fit: "), F.col(name))
+    error = F.raise_error(message).cast("string")
+    return F.when(F.col(name).isNotNull(), F.coalesce(value.cast("string"), error))
+
+
 def load_claims_strict(spark: SparkSession, path, stage_path, archive_path, load_id, run_ts) -> dict:
     """Header CSV with fixed columns and order; rows with a gap are archived.
 
     A value of a wrong type or another column order ends the load before
-    anything is visible.
+    anything is visible, and so does an amount or a date the stage cannot hold.
     """
     df = normalize_columns(read_typed_csv(spark, path, CLAIMS_FILE_SCHEMA))
     check_names(df.columns, CLAIM_COLUMNS_STRICT, "ordered")
@@ -60,7 +66,11 @@ def load_claims_strict(spark: SparkSession, path, stage_path, archive_path, load
     rows = materialize(typed, "strict-claims", ["is_gap"])
     counts = {r["is_gap"]: r["count"] for r in rows.groupBy("is_gap").count().collect()}
     good, gaps = counts.get(False, 0), counts.get(True, 0)
-    valid, invalid = split_required(rows.filter(~F.col("is_gap")), CLAIM_COLUMNS_STRICT)[0], rows.filter("is_gap")
+    valid, invalid = rows.filter(~F.col("is_gap")), rows.filter("is_gap")
+    valid = valid.withColumns({
+        "claim_amount": must_fit("claim_amount", to_amount("claim_amount")),
+        "service_date": must_fit("service_date", to_day("service_date")),
+    })
     publish(spark, load_id, [
         Output(archive_path, f"invalid_records_{load_id}",
                invalid.select(*CLAIM_COLUMNS_STRICT), gaps, "csv"),

@@ -45,7 +45,11 @@ def source_checked(source: DataFrame, as_of) -> DataFrame:
     return typed.withColumn("rejection_reason", joined_reasons(broken_names(source_rules(as_of))))
 
 
-def source_split(rows: DataFrame, key="claim_id", order=(), row_id="source_row"):
+# The extract is ordered by key; further columns make the order a full one.
+SOURCE_ORDER = [(c, "asc") for c in SOURCE_COLUMNS]
+
+
+def source_split(rows: DataFrame, key="claim_id", order=SOURCE_ORDER, row_id="source_row"):
     """(to stage, to quarantine) of written, checked rows.
 
     Among the rows that passed, the first of a key is staged and the others

@@ -16,6 +16,7 @@ def local_session(cpus="*", app_name="sluice", shuffle_partitions=8, memory="16g
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")

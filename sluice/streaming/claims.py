@@ -7,6 +7,8 @@ from sluice.plans.claims import load_claims_lines
 from sluice.plans.migration import Tables, write_audit
 
 PROCESS_NAME = "claims_file_intake"
+# Only the path is selected, so no file content is read by the stream itself.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def claims_batch(tables: Tables, load_prefix, as_of, run_ts, **options):
@@ -40,7 +42,7 @@ def run_claims_intake(spark: SparkSession, folder, tables: Tables, checkpoint, l
                       max_files=100, **options):
     """Load all files that have arrived, then stop; call again for more."""
     files = (
-        spark.readStream.format("binaryFile").option("maxFilesPerTrigger", max_files)
+        spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("maxFilesPerTrigger", max_files)
         .load(folder).select("path")
     )
     query = (
