@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sluice.catalog.registry import query
 from sluice.catalog.views import EARLY, NOTES_SRC, duck, notes_src, table
-from sluice.functions.text import WHITE, normalize_text
+from sluice.functions.text import WHITE_RANGES, normalize_text
 from sluice.operators import documents as D
 from sluice.operators.merge import upsert
 from sluice.plans.documents import run_documents
@@ -14,8 +14,11 @@ NOTES = duck(NOTES_SRC)
 RUN, AT = "run-2", "2001-01-01T00:00:00"
 
 
+_WHITE = "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in WHITE_RANGES)
+
+
 def _strip(x):
-    return f"regexp_replace({x}, '^[{WHITE}]+|[{WHITE}]+$', '', 'g')"
+    return f"regexp_replace({x}, '^[{_WHITE}]+|[{_WHITE}]+$', '', 'g')"
 
 
 def _normal(x):

@@ -6,6 +6,7 @@ from sluice.sources.tables import with_row_id
 
 AS_OF = "2001-01-01"
 EARLY = "1998-07-01"
+SMALL_SHARE = 16 << 20
 
 CLAIMS_SRC = """
 select cast(l_orderkey*10+l_linenumber as STR) claim_id,
@@ -69,14 +70,28 @@ def table(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key) -> DataFrame:
+    """Give every core a share of a small file that one task would read alone.
+
+    Inputs with enough bytes for all cores already have splits for them and
+    are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    small = int(str(size)) < cores * SMALL_SHARE
+    return df.repartition(cores, key) if small else df
+
+
 def _view(spark, sf_dir, view, row_id=False):
     text = view.replace("STR", "string").replace("ROW_ID", ", row_id" if row_id else "")
     frames = {}
+    big = next(t for t in TABLES if t.upper() in text)
     for name in TABLES:
         if name.upper() in text:
             text = text.replace(name.upper(), "{" + name + "}")
             df = table(spark, sf_dir, name)
-            frames[name] = with_row_id(df) if row_id and name == "lineitem" else df
+            df = with_row_id(df) if row_id and name == "lineitem" else df
+            frames[name] = spread(df, df.columns[0]) if name == big else df
     return spark.sql(text, **frames)
 
 

@@ -6,8 +6,8 @@ from sluice.functions.text import column, strip
 
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 DIGITS_PATTERN = "^[0-9]+$"
-ISO_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?)?$"
-# Other accepted date layouts: shape test and format.
+# Accepted layouts other than yyyy-MM-dd: shape test and format.
+ISO_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?$"
 DATE_LAYOUTS = [
     (r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
@@ -21,22 +21,25 @@ MISSING_TOKENS = [
 ]
 
 
+def stripped(c) -> Column:
+    return strip(column(c).cast("string"))
+
+
 def to_number(c) -> Column:
     """Double, or null for text that is not a finite decimal number."""
-    text = strip(column(c).cast("string"))
+    text = stripped(c)
     value = text.try_cast("double")
     return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(value) < float("inf")), value)
 
 
 def to_decimal(c, precision=38, scale=10) -> Column:
     """Exact decimal; identifiers keep all their digits."""
-    text = strip(column(c).cast("string"))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast(f"decimal({precision},{scale})"))
+    return stripped(c).try_cast(f"decimal({precision},{scale})")
 
 
 def to_amount(c) -> Column:
-    """Amount as staged."""
-    return column(c).cast("string").try_cast("decimal(18,2)")
+    """Amount as staged, from text or a number."""
+    return column(c).try_cast("decimal(18,2)")
 
 
 def is_whole(number: Column) -> Column:
@@ -45,28 +48,36 @@ def is_whole(number: Column) -> Column:
 
 
 def to_whole(c) -> Column:
-    """Bigint from integer text or text such as ``300017.0``; else null."""
+    """Bigint from integer text or text such as ``300017.0``; else null.
+
+    Plain integers, the common case, take the first cast.
+    """
     value = to_decimal(c)
-    return F.when(is_whole(value), value.try_cast("bigint"))
+    return F.coalesce(
+        stripped(c).try_cast("bigint"),
+        F.when(is_whole(value), value.try_cast("bigint")))
 
 
 def is_digits(c) -> Column:
     """Digits only after stripping; false, not null, for a missing value."""
-    return F.coalesce(strip(column(c).cast("string")).rlike(DIGITS_PATTERN), F.lit(False))
+    return F.coalesce(stripped(c).rlike(DIGITS_PATTERN), F.lit(False))
 
 
 def to_digits(c) -> Column:
     """Bigint where the text is digits only, else null."""
-    return F.when(is_digits(c), strip(column(c).cast("string")).try_cast("bigint"))
+    return F.when(is_digits(c), stripped(c).try_cast("bigint"))
 
 
 def to_day(c) -> Column:
     """Date from the accepted layouts, ISO first; times of day are dropped.
 
-    Each format is tried only on text of its shape, so ISO text costs one cast.
+    Each format is tried only on text of its shape; plain ISO text costs one
+    cast and no pattern.
     """
-    text = strip(column(c).cast("string"))
-    day = F.when(text.rlike(ISO_PATTERN), F.substring(text, 1, 10).try_cast("date"))
+    text = stripped(c)
+    plain = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    day = F.when(plain, text.try_cast("date")).when(
+        text.rlike(ISO_TIME_PATTERN), F.substring(text, 1, 10).try_cast("date"))
     for shape, layout in DATE_LAYOUTS:
         day = day.when(text.rlike(shape), F.try_to_date(text, layout))
     return day

@@ -2,10 +2,13 @@
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: the characters that count as white space when a value is
-# stripped.  The same class text is valid in Java and RE2 patterns.
-WHITE = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# Fixed value: the code point ranges that count as white space when a value is
+# stripped.
+WHITE_RANGES = [
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+]
+WHITE = "".join(chr(c) for low, high in WHITE_RANGES for c in range(low, high + 1))
 
 
 def column(c) -> Column:
@@ -14,11 +17,11 @@ def column(c) -> Column:
 
 def strip(c) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(column(c), r"\A[" + WHITE + r"]+|[" + WHITE + r"]+\z", "")
+    return F.trim(column(c), F.lit(WHITE))
 
 
 def is_blank(c) -> Column:
-    return column(c).rlike(r"\A[" + WHITE + r"]*\z")
+    return strip(c) == ""
 
 
 def capture(c, pattern: str, flags: str = "i") -> Column:

@@ -9,6 +9,7 @@ from sluice.functions.hashing import document_key
 from sluice.functions.text import (
     capture, captured, column, cut, first_capture, normalize_text, strip,
 )
+from sluice.operators.once import compute_once
 from sluice.model import (
     CLASSIFIED_BONUS, DIRECT_TEXT_MIN_CHARS, DOCUMENT_COLUMNS, PREVIEW_CHARS, REVIEW_BELOW,
 )
@@ -94,17 +95,6 @@ def nine_fields(text) -> dict:
     return {name: first_capture(text, pattern) for name, pattern in FIELD_PATTERNS.items()}
 
 
-def compute_once(df: DataFrame, **columns) -> DataFrame:
-    """Add columns that a filter further up cannot pull down and repeat.
-
-    A filter on an ordinary column is moved below the projection with the
-    whole expression copied into it; patterns over long texts would then run
-    many times per row.  Columns of a generated row stay where they are.
-    """
-    made = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select("*", F.inline(F.array(made)))
-
-
 def ten_fields(text) -> dict:
     """The labelled variant; an empty capture gives way to the next pattern."""
     out = {}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions import coerce as K
 from sluice.functions.text import column, strip
+from sluice.operators.once import compute_once
 from sluice.model import (
     CLAIM_COLUMNS_LINES, FILE_PROCEDURE_CODES, INTEGER_COLUMNS, REASON_WIDTH,
     TARGET_PROCEDURE_CODES,
@@ -106,15 +107,15 @@ def type_claims(df: DataFrame, integers="numeric") -> DataFrame:
     """
     if integers == "numeric":
         typed = {c: K.to_decimal(c) for c in INTEGER_COLUMNS}
-        typed["diagnosis_code"] = F.col("diagnosis_code")
     elif integers == "strict":
         typed = {c: K.to_digits(c) for c in INTEGER_COLUMNS}
-        typed["diagnosis_code"] = strip("diagnosis_code")
+        df = df.withColumn("diagnosis_code", strip("diagnosis_code"))
     else:
         raise ValueError(f"unknown integer policy: {integers}")
     typed["claim_amount"] = K.to_number("claim_amount")
     typed["service_date"] = K.to_day("service_date")
-    return df.withColumns(typed)
+    stripped = df.withColumns({c: strip(c) for c in typed})
+    return compute_once(stripped, **typed)
 
 
 def claim_rules(as_of, integers="numeric", codes=FILE_PROCEDURE_CODES, duplicate="is_duplicate"):
@@ -154,16 +155,22 @@ def integer_cleanup(df: DataFrame, columns=INTEGER_COLUMNS):
 
 def type_source(df: DataFrame) -> DataFrame:
     """Types of the extracted source columns."""
-    return df.withColumns({
-        "claim_id": K.to_whole("claim_id"),
-        "patient_id": K.to_whole("patient_id"),
-        "provider_id": K.to_whole("provider_id"),
-        "amount": K.to_amount("amount"),
-        "service_date": K.to_day("service_date"),
+    kinds = dict(df.dtypes)
+    texts = [c for c in ("claim_id", "patient_id", "provider_id", "service_date") if kinds[c] == "string"]
+    stripped = df.withColumns({
+        **{c: strip(c) for c in texts},
         "diagnosis_code": F.col("diagnosis_code").cast("string"),
         "procedure_code": F.col("procedure_code").cast("string"),
     })
 
+    def whole(c):
+        return F.col(c).cast("bigint") if kinds[c] in ("int", "bigint") else K.to_whole(c)
+
+    return compute_once(
+        stripped, claim_id=whole("claim_id"), patient_id=whole("patient_id"),
+        provider_id=whole("provider_id"), amount=K.to_amount("amount"),
+        service_date=F.col("service_date") if kinds["service_date"] == "date" else K.to_day("service_date"))
+
 
 def source_rules(as_of):
     """Reasons that keep a source row out of the stage; diagnosis is optional."""

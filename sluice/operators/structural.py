@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.text import column, is_blank
 from sluice.model import CSV_FIELD_LIMIT
+from sluice.operators.once import compute_once
 
 # One match per field of "," + line: a quoted field with what follows it, a
 # plain field, or an empty field.
@@ -18,7 +19,7 @@ REASONS = [
 
 
 def without_return(line) -> Column:
-    return F.regexp_replace(column(line), "\r\\z", "")
+    return F.rtrim(column(line), F.lit("\r"))
 
 
 def split_fields(line) -> Column:
@@ -65,7 +66,7 @@ def structural_reason(line, fields, n_columns: int) -> Column:
 
 def check_lines(lines: DataFrame, n_columns: int) -> DataFrame:
     """Add ``fields`` and ``reason`` to (…, raw_row)."""
-    with_fields = lines.withColumn("fields", split_fields("raw_row"))
+    with_fields = compute_once(lines, fields=split_fields("raw_row"))
     return with_fields.withColumn("reason", structural_reason("raw_row", "fields", n_columns))
 
 
