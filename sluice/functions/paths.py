@@ -40,5 +40,9 @@ def leading_id(name) -> Column:
 
 
 def delimiter(path) -> Column:
-    """``|`` for keys that name a split file, else a comma."""
-    return F.when(column(path).contains("split_file"), F.lit("|")).otherwise(F.lit(","))
+    """``|`` if folder or file name tell of a split file, else a comma.
+
+    Folders further up do not count: they are the bucket, not the key.
+    """
+    key = F.concat_ws("/", folder_name(path), object_name(path))
+    return F.when(key.contains("split_file"), F.lit("|")).otherwise(F.lit(","))
