@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from sluice.catalog.registry import query
-from sluice.catalog.views import EARLY, NOTES_SRC, duck, notes_src, table
+from sluice.catalog.views import EARLY, NOTES_SRC, duck, notes_src, spread, table
 from sluice.functions.text import WHITE_RANGES, normalize_text
 from sluice.operators import documents as D
 from sluice.operators.merge import upsert
+from sluice.operators.once import compute_once
 from sluice.plans.documents import run_documents
 from sluice.session import fresh_folder
 
@@ -70,7 +71,7 @@ def parsed_notes(spark, sf_dir):
 
 @query(f"""select doc_id, {_normal('text')} normalized, length({_strip('text')}) >= 100 is_direct from documents""")
 def text_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id", normalize_text("text").alias("normalized"),
         (D.method_label("text") == "direct_pdf_text").alias("is_direct"))
 
@@ -78,8 +79,9 @@ def text_normalize(spark, sf_dir):
 @query(f"""with docs as (select doc_id, {_normal('text')} full_text from documents)
 select doc_id, {_class('full_text', False)} document_type from docs""")
 def document_classify(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", D.classify(normalize_text("text"), parity=False).alias("document_type"))
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    texts = compute_once(docs.select("doc_id", "text"), full_text=normalize_text("text"))
+    return texts.select("doc_id", D.classify("full_text", parity=False).alias("document_type"))
 
 
 @query(f"with {_PARSED} select doc_id, document_type from scored")

@@ -21,20 +21,25 @@ MISSING_TOKENS = [
 ]
 
 
-def stripped(c) -> Column:
-    return strip(column(c).cast("string"))
+# Each conversion strips its text first; a caller that has stripped a column
+# in a projection of its own passes ``bare=True``, so that the text, which a
+# conversion looks at several times, is stripped once.
 
 
-def to_number(c) -> Column:
+def _text(c, bare):
+    return column(c) if bare else strip(column(c).cast("string"))
+
+
+def to_number(c, bare=False) -> Column:
     """Double, or null for text that is not a finite decimal number."""
-    text = stripped(c)
+    text = _text(c, bare)
     value = text.try_cast("double")
     return F.when(text.rlike(NUMBER_PATTERN) & (F.abs(value) < float("inf")), value)
 
 
-def to_decimal(c, precision=38, scale=10) -> Column:
+def to_decimal(c, bare=False, precision=38, scale=10) -> Column:
     """Exact decimal; identifiers keep all their digits."""
-    return stripped(c).try_cast(f"decimal({precision},{scale})")
+    return _text(c, bare).try_cast(f"decimal({precision},{scale})")
 
 
 def to_amount(c) -> Column:
@@ -47,34 +52,34 @@ def is_whole(number: Column) -> Column:
     return number % 1 == 0
 
 
-def to_whole(c) -> Column:
+def to_whole(c, bare=False) -> Column:
     """Bigint from integer text or text such as ``300017.0``; else null.
 
     Plain integers, the common case, take the first cast.
     """
-    value = to_decimal(c)
+    value = to_decimal(c, bare)
     return F.coalesce(
-        stripped(c).try_cast("bigint"),
+        _text(c, bare).try_cast("bigint"),
         F.when(is_whole(value), value.try_cast("bigint")))
 
 
-def is_digits(c) -> Column:
+def is_digits(c, bare=False) -> Column:
     """Digits only after stripping; false, not null, for a missing value."""
-    return F.coalesce(stripped(c).rlike(DIGITS_PATTERN), F.lit(False))
+    return F.coalesce(_text(c, bare).rlike(DIGITS_PATTERN), F.lit(False))
 
 
-def to_digits(c) -> Column:
+def to_digits(c, bare=False) -> Column:
     """Bigint where the text is digits only, else null."""
-    return F.when(is_digits(c), stripped(c).try_cast("bigint"))
+    return F.when(is_digits(c, bare), _text(c, bare).try_cast("bigint"))
 
 
-def to_day(c) -> Column:
+def to_day(c, bare=False) -> Column:
     """Date from the accepted layouts, ISO first; times of day are dropped.
 
     Each format is tried only on text of its shape; plain ISO text costs one
     cast and no pattern.
     """
-    text = stripped(c)
+    text = _text(c, bare)
     plain = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
     day = F.when(plain, text.try_cast("date")).when(
         text.rlike(ISO_TIME_PATTERN), F.substring(text, 1, 10).try_cast("date"))

@@ -16,8 +16,14 @@ def column(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Remove white space of any kind at both ends."""
-    return F.trim(column(c), F.lit(WHITE))
+    """Remove white space of any kind at both ends.
+
+    Text that starts and ends with a printable ASCII character, as nearly all
+    does, is passed on after a look at these two.
+    """
+    text = column(c)
+    bare = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+    return F.when(bare, text).otherwise(F.trim(text, F.lit(WHITE)))
 
 
 def is_blank(c) -> Column:
@@ -47,8 +53,9 @@ def first_capture(c, pattern: str, flags: str = "i") -> Column:
 
 def normalize_text(c) -> Column:
     """Carriage returns to line feeds, runs of blanks or line feeds to one, strip."""
-    lines = F.translate(column(c), "\r", "\n")
-    blanks = F.regexp_replace(lines, r"[ \t]+", " ")
+    lines = F.replace(column(c), F.lit("\r"), F.lit("\n"))
+    # Tabs as blanks first, so that the pattern has to look at longer runs only.
+    blanks = F.regexp_replace(F.replace(lines, F.lit("\t"), F.lit(" ")), " {2,}", " ")
     return strip(F.regexp_replace(blanks, r"\n{2,}", "\n"))
 
 

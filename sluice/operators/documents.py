@@ -3,6 +3,8 @@
 One narrow job over (file_path, file_name, text); all expressions built in.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.hashing import document_key
@@ -82,11 +84,17 @@ def classify(text, parity=True) -> Column:
     With ``parity`` the capital-letter pattern stays without effect, as it is
     on lower-cased text; without it, the abbreviation counts.
     """
-    lowered = F.lower(column(text))
+    return classify_lowered(F.lower(column(text)), parity)
+
+
+def classify_lowered(lowered: Column, parity=True) -> Column:
+    """As ``classify``; a pattern runs only where its literal part occurs."""
     chain = None
     for label, patterns in CLASS_PATTERNS:
-        used = [p for p in patterns if not (parity and p == CAPITALS_ONLY)]
-        test = lowered.rlike("|".join(used))
+        tests = [
+            lowered.contains(pattern.replace(r"\b", "").removesuffix("s?")) & lowered.rlike(pattern)
+            for pattern in patterns if not (parity and pattern == CAPITALS_ONLY)]
+        test = reduce(lambda a, b: a | b, tests)
         chain = F.when(test, label) if chain is None else chain.when(test, label)
     return chain
 
@@ -146,7 +154,8 @@ def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
     )
     base = compute_once(base, full_text=normalize_text("_raw")).drop("_raw")
     captures = {f"_{n}": capture("full_text", p) for n, p in FIELD_PATTERNS.items()}
-    parsed = compute_once(base, document_type=classify("full_text", parity), **captures)
+    base = base.withColumn("_lowered", F.lower("full_text"))
+    parsed = compute_once(base, document_type=classify_lowered(F.col("_lowered"), parity), **captures)
     parsed = parsed.withColumns({n: captured(f"_{n}") for n in FIELDS})
     scored = parsed.withColumn("confidence_score", confidence())
     record = scored.withColumns({
@@ -155,7 +164,8 @@ def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
         "needs_review": needs_review(),
         "raw_text_preview": cut("full_text", PREVIEW_CHARS),
     })
-    return record.select(*DOCUMENT_COLUMNS, *(["full_text"] if keep_text else []))
+    return record.select(
+        *DOCUMENT_COLUMNS, *(["full_text"] if keep_text else []))
 
 
 def parse_labelled(documents: DataFrame, text="text", fallback_text=None) -> DataFrame:

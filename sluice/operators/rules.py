@@ -106,14 +106,14 @@ def type_claims(df: DataFrame, integers="numeric") -> DataFrame:
     only and strips every text column.
     """
     if integers == "numeric":
-        typed = {c: K.to_decimal(c) for c in INTEGER_COLUMNS}
+        typed = {c: K.to_decimal(c, True) for c in INTEGER_COLUMNS}
     elif integers == "strict":
-        typed = {c: K.to_digits(c) for c in INTEGER_COLUMNS}
+        typed = {c: K.to_digits(c, True) for c in INTEGER_COLUMNS}
         df = df.withColumn("diagnosis_code", strip("diagnosis_code"))
     else:
         raise ValueError(f"unknown integer policy: {integers}")
-    typed["claim_amount"] = K.to_number("claim_amount")
-    typed["service_date"] = K.to_day("service_date")
+    typed["claim_amount"] = K.to_number("claim_amount", True)
+    typed["service_date"] = K.to_day("service_date", True)
     stripped = df.withColumns({c: strip(c) for c in typed})
     return compute_once(stripped, **typed)
 
@@ -164,12 +164,12 @@ def type_source(df: DataFrame) -> DataFrame:
     })
 
     def whole(c):
-        return F.col(c).cast("bigint") if kinds[c] in ("int", "bigint") else K.to_whole(c)
+        return F.col(c).cast("bigint") if kinds[c] in ("int", "bigint") else K.to_whole(c, kinds[c] == "string")
 
     return compute_once(
         stripped, claim_id=whole("claim_id"), patient_id=whole("patient_id"),
         provider_id=whole("provider_id"), amount=K.to_amount("amount"),
-        service_date=F.col("service_date") if kinds["service_date"] == "date" else K.to_day("service_date"))
+        service_date=F.col("service_date") if kinds["service_date"] == "date" else K.to_day("service_date", kinds["service_date"] == "string"))
 
 
 def source_rules(as_of):

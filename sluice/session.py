@@ -20,6 +20,9 @@ def local_session(cpus="*", app_name="sluice", shuffle_partitions=8, memory="16g
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Generated methods beyond this size are never compiled by the JVM;
+        # Spark then splits the stage's expressions into smaller ones.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

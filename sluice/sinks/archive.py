@@ -6,7 +6,12 @@ from sluice.model import DOCUMENT_COLUMNS
 
 
 def csv_writer(df: DataFrame):
-    return df.write.option("header", True).option("quote", '"').option("escape", '"')
+    """Values are written as they are, blanks at the ends included."""
+    return (
+        df.write.option("header", True).option("quote", '"').option("escape", '"')
+        .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
 
 
 def flat_text(df: DataFrame) -> DataFrame:
