@@ -10,6 +10,7 @@ from sluice.catalog.lines import write_claims_csv
 from sluice.catalog.registry import query
 from sluice.catalog.views import AS_OF, CLAIMS_SRC, EARLY, claims_src, duck, table
 from sluice.model import CLAIM_COLUMNS_LINES, REJECTS_SCHEMA, STAGE_SCHEMA, TARGET_SCHEMA
+from sluice.operators.audit import rejects_per_load
 from sluice.operators.dedupe import surrogate_id
 from sluice.plans.claims import load_claims_lines, load_claims_strict
 from sluice.plans.migration import Tables, audit_state, merge_load, process_claims
@@ -257,6 +258,15 @@ def merge_load_rejects(spark, sf_dir):
         "claim_id", "amount", "service_date", "record_hash", "rejection_reason")
 
 
+@query(f"""with {TYPED}, ranked as (select *, row_number() over (partition by claim_id order by {FULL_ORDER}) rn
+  from hashed where {VALID})
+select 'load-1' load_id, (select count(*) from ranked where rn > 1)
+  + (select count(*) from hashed where {_REFUSED}) target_rows_rejected""")
+def merge_load_reject_count(spark, sf_dir):
+    tables = _merge_staged(spark, sf_dir)
+    return rejects_per_load(read_load_table(spark, tables.rejects, REJECTS_SCHEMA))
+
+
 # -- arriving split files ---------------------------------------------------
 
 _PROGRAMS = {"click": ("success_split_files", "a1b2-01", "Prog-Click", "|"),

@@ -4,71 +4,39 @@ One key may hold a large share of all rows, so no operator here gathers the
 rows of a key in one task.
 """
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sluice.session import truncate_lineage
-
-HOT_ROWS = 100_000
-HOT_KEYS = 1_000
-
-
-def key_counts(df: DataFrame, keys) -> DataFrame:
-    """Rows per key, combined before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("key_rows"))
+from sluice.operators.lookup import HOT_ROWS, key_counts, mark_listed, same_keys
+from sluice.session import materialize, truncate_lineage
 
 
 def flag_duplicates(df: DataFrame, keys, name="is_duplicate", hot_rows=HOT_ROWS) -> DataFrame:
     """Mark every row whose key occurs more than once; null keys group together.
 
-    Only repeated keys are looked up.  The heaviest of them (at most
-    ``HOT_KEYS``, hence a bounded broadcast) are matched without a shuffle;
-    their rows then spread over the shuffle of the second lookup, where they
-    can match nothing, so no task gets all rows of a key.
-    ``df`` is read twice: pass a scan or a materialised frame.
+    Only repeated keys are looked up.  ``df`` is read twice: pass a scan or a
+    materialised frame.
     """
-    keys = list(keys)
     repeated = key_counts(df, keys).filter("key_rows > 1")
-    hot = (
-        repeated.filter(F.col("key_rows") >= hot_rows)
-        .orderBy(F.desc("key_rows"), *keys).limit(HOT_KEYS)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    )
-    # key_rows % 1 is always 0; a literal would be taken out of the join keys,
-    # and with it the spreading of hot rows.
-    cold = repeated.select(
-        *[F.col(k).alias(f"_cold_{k}") for k in keys],
-        (F.col("key_rows") % 1).alias("_cold_spread"), F.lit(True).alias("_cold"))
-    marked = df.join(F.broadcast(hot), _same(keys, "_hot_"), "left")
-    spread = F.when(F.col("_hot"), F.spark_partition_id() + 1).otherwise(0).cast("bigint")
-    marked = marked.withColumn("_spread", spread)
-    marked = marked.join(cold, _same(keys, "_cold_") & (F.col("_spread") == F.col("_cold_spread")), "left")
-    flag = F.coalesce(F.col("_hot"), F.col("_cold"), F.lit(False))
-    return marked.select(*df.columns, flag.alias(name))
+    return mark_listed(df, repeated, keys, name, hot_rows)
 
 
 def flag_duplicates_sized(df: DataFrame, keys, name="is_duplicate", max_broadcast=500_000) -> DataFrame:
     """``flag_duplicates`` for a written table: counts the repeated keys first.
 
     Few repeated keys, the usual case, are broadcast after that check, and the
-    rows are not shuffled at all; many go the way that shuffles.
+    rows are not shuffled at all; many go the way that shuffles, whose result
+    is written once.
     """
     keys = list(keys)
     repeated = truncate_lineage(key_counts(df, keys).filter("key_rows > 1").select(*keys))
     if repeated.count() > max_broadcast:
-        return flag_duplicates(df, keys, name)
+        return materialize(flag_duplicates(df, keys, name), "flagged")
     lookup = repeated.select(
         *[F.col(k).alias(f"_dup_{k}") for k in keys], F.lit(True).alias("_dup"))
-    marked = df.join(F.broadcast(lookup), _same(keys, "_dup_"), "left")
+    marked = df.join(F.broadcast(lookup), same_keys(keys, "_dup_"), "left")
     return marked.select(*df.columns, F.coalesce(F.col("_dup"), F.lit(False)).alias(name))
 
 
-def _same(keys, prefix):
-    tests = [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys]
-    return reduce(lambda a, b: a & b, tests)
-
-
 def sql_order(order):
     """Columns in the order of SQL: descending puts nulls first, ascending last."""
     return [

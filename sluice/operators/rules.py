@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions import coerce as K
 from sluice.functions.text import column, strip
-from sluice.operators.once import compute_once
 from sluice.model import (
     CLAIM_COLUMNS_LINES, FILE_PROCEDURE_CODES, INTEGER_COLUMNS, REASON_WIDTH,
     TARGET_PROCEDURE_CODES,
 )
+from sluice.operators.lookup import rows_without
+from sluice.operators.once import compute_once
 
 
 @dataclass(frozen=True)
@@ -57,16 +58,12 @@ def not_in_table(df: DataFrame, c, codes: DataFrame, code_column, max_broadcast=
     """Rows whose code a reference table does not hold.
 
     The table is broadcast only if a count bounded by ``max_broadcast`` shows
-    it small; otherwise the join shuffles.
+    it small; otherwise distinct codes are compared.
     """
     keys = codes.select(F.col(code_column).alias(c)).dropna().distinct()
     if keys.limit(max_broadcast + 1).count() <= max_broadcast:
-        keys = F.broadcast(keys)
-    else:
-        # Missing codes never match; kept apart, they do not share one task.
-        present = df.filter(F.col(c).isNotNull()).join(keys, c, "left_anti")
-        return present.unionByName(df.filter(F.col(c).isNull()))
-    return df.join(keys, c, "left_anti")
+        return df.join(F.broadcast(keys), c, "left_anti").select(*df.columns)
+    return rows_without(df, [c], keys)
 
 
 def split_required(df: DataFrame, fields):

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.model import STAGE_COLUMNS, WIDTHS
+from sluice.operators.lookup import rows_without
 
 
 def normalize_names(names):
@@ -65,8 +66,8 @@ def null_counts(df: DataFrame, columns) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key, parent_key) -> DataFrame:
     """Child rows whose key is not in the parent; null keys pass."""
-    keys = parent.select(F.col(parent_key).alias(child_key))
-    return child.filter(F.col(child_key).isNotNull()).join(keys, child_key, "left_anti")
+    known = parent.select(F.col(parent_key).alias(child_key)).dropna().distinct()
+    return rows_without(child.filter(F.col(child_key).isNotNull()), [child_key], known)
 
 
 def too_long(df: DataFrame, widths=WIDTHS) -> DataFrame:

@@ -130,6 +130,16 @@ def test_flag_duplicates_hot_and_cold(spark):
         assert len(got) == len(keys) and all(r["is_duplicate"] == (counts[r["k"]] > 1) for r in got)
 
 
+def test_rows_without_known_key(spark):
+    from sluice.operators.lookup import rows_without
+    keys = ["UNK"] * 300 + ["ok"] * 300 + [None] * 3 + ["x"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(5)
+    known = spark.createDataFrame([("ok",), ("other",)], "k string")
+    for hot_rows in (1, 10**9):
+        got = Counter(r["k"] for r in rows_without(df, ["k"], known, hot_rows).collect())
+        assert got == Counter({"UNK": 300, None: 3, "x": 1})
+
+
 def test_hot_rows_are_spread(spark):
     df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("i")).repartition(8)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
