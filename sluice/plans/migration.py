@@ -143,7 +143,7 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
 
         bad = split.filter(~F.col("is_kept"))
         files = Output(
-            tables.quarantine_files, f"{load_id}_bad_rows",
+            tables.quarantine_files, f"{load_id}_chunk_00001_bad_rows",
             bad.select(*SOURCE_COLUMNS, "rejection_reason"), quarantined, "csv")
         rows_out = publish(spark, load_id, [
             files,

@@ -30,14 +30,6 @@ def write_csv(df: DataFrame, path, order=(), hidden=(), mode="errorifexists") ->
     csv_writer(out).mode(mode).csv(path)
 
 
-def write_quarantine_files(df: DataFrame, path) -> None:
-    """One folder of CSV parts per load and chunk."""
-    (
-        csv_writer(flat_text(df)).mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("load_id", "chunk").csv(path)
-    )
-
-
 def write_json(df: DataFrame, path, mode="errorifexists") -> None:
     """One JSON object per line and row; nulls are kept."""
     df.write.option("ignoreNullFields", "false").mode(mode).json(path)
