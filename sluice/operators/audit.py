@@ -74,9 +74,7 @@ def reconcile(counts: DataFrame) -> DataFrame:
 
 def check_batch(valid_rows: int, staged_rows: int, batch="load"):
     if valid_rows != staged_rows:
-        raise ValueError(
-            f"Reconciliation failed for {batch}: valid_rows={valid_rows}, "
-            f"staged_rows_loaded={staged_rows}")
+        raise ValueError(f"{batch}: {valid_rows} valid rows, but {staged_rows} staged")
 
 
 def latest_state(events: DataFrame) -> DataFrame:

@@ -18,16 +18,12 @@ def check_names(actual, expected, policy="set"):
     """``ordered`` wants the same names in the same order, ``set`` the same names."""
     if policy == "ordered":
         if list(actual) != list(expected):
-            raise ValueError(
-                f"Schema drift detected. Expected columns/order: {list(expected)} "
-                f"Actual columns/order: {list(actual)}")
+            raise ValueError(f"schema drift: columns should be {list(expected)}, found {list(actual)}")
         return
     missing = [c for c in expected if c not in actual]
     extra = [c for c in actual if c not in expected]
     if missing or extra or len(actual) != len(expected):
-        raise ValueError(
-            f"Schema validation failed. Missing columns={missing}, "
-            f"Extra columns={extra}, Actual={list(actual)}")
+        raise ValueError(f"schema check: missing {missing}, unexpected {extra}, found {list(actual)}")
 
 
 def check_schema(df: DataFrame, expected, policy="set") -> DataFrame:

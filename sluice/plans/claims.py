@@ -90,7 +90,7 @@ def data_lines(lines: DataFrame, header) -> DataFrame:
     """Lines after each file's header; a file with another header ends the load."""
     found = F.transform(split_fields("raw_row"), lambda f: F.lower(strip(f)))
     same = found == F.array(*[F.lit(h) for h in header])
-    other = F.raise_error(F.concat(F.lit("Schema drift in "), F.col("file"))).cast("boolean")
+    other = F.raise_error(F.concat(F.lit("schema drift in "), F.col("file"))).cast("boolean")
     is_data = F.when(F.col("line_number") > 1, F.lit(True)).when(same, F.lit(False)).otherwise(other)
     return lines.filter(is_data)
 

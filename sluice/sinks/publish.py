@@ -51,8 +51,7 @@ class Output:
     def check(self, path, what):
         found = self.count(path)
         if self.expected is not None and found != self.expected:
-            raise ValueError(
-                f"{what} failed for {self.name}. Expected {self.expected} rows, found {found}")
+            raise ValueError(f"{what}: {self.name} should hold {self.expected} rows, found {found}")
         return found
 
 
@@ -78,11 +77,11 @@ def publish(spark: SparkSession, load_id, outputs) -> dict:
     try:
         for out in outputs:
             out.write(out.staged(load_id))
-            rows[out.name] = out.check(out.staged(load_id), "Archive validation")
+            rows[out.name] = out.check(out.staged(load_id), "recount before publishing")
         for out in outputs:
             move(spark, out.staged(load_id), out.published)
         for out in outputs:
-            out.check(out.published, "Final archive validation")
+            out.check(out.published, "recount after publishing")
     finally:
         for out in outputs:
             remove(spark, f"{out.root}/_staging/{load_id}")

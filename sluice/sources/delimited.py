@@ -7,7 +7,7 @@ from sluice.functions.coerce import missing_to_null, to_whole
 from sluice.model import CLAIMS_FILE_SCHEMA
 
 
-def require_rows(df: DataFrame, message="Input file is empty") -> DataFrame:
+def require_rows(df: DataFrame, message="input is empty") -> DataFrame:
     """Raise when there is no row."""
     if df.isEmpty():
         raise ValueError(message)

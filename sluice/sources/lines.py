@@ -95,4 +95,4 @@ def first_line(spark: SparkSession, paths) -> str:
         row = spark.read.option("lineSep", "\n").text(name).first()
         if row is not None:
             return row[0]
-    raise ValueError("Input file is empty")
+    raise ValueError("input is empty")

@@ -84,14 +84,14 @@ def test_hash_collides_on_nulls_unless_marked(spark):
 
 
 def test_paths(spark):
-    key = "success_split_files/2e3789-4eg7-adc7-def2e33b90_Macaluso-Biooncology-C_split_file_20250112_121021.csv"
+    key = "success_split_files/2e37-4eg7-ad_Prog-X-C_split_file_20250112_121021.csv"
     df = spark.createDataFrame([(key,), ("plain.csv",)], "k string")
     name = paths.object_name("k")
     rows = df.select(paths.folder_name("k"), paths.program_name(name), paths.leading_id(name),
                      paths.id_and_program(name), paths.delimiter("k")).collect()
     assert tuple(rows[0]) == (
-        "success_split_files", "Macaluso-Biooncology-C", "2e3789-4eg7-adc7-def2e33b90",
-        "2e3789-4eg7-adc7-def2e33b90_Macaluso-Biooncology-C", "|")
+        "success_split_files", "Prog-X-C", "2e37-4eg7-ad",
+        "2e37-4eg7-ad_Prog-X-C", "|")
     assert tuple(rows[1]) == (None, None, "plain", None, ",")
 
 

@@ -80,7 +80,7 @@ def test_line_load_reorders_and_refuses(spark, tmp_path, folder):
     path = put(tmp_path / "a.csv", swapped + "1,10,5,2025-01-01,7,99213,E11\n")
     got = load_claims_lines(spark, path, f"{folder}/s", f"{folder}/a", "L", AS_OF, TS)
     assert got["reordered"] and got["rows_loaded"] == 1
-    with pytest.raises(ValueError, match="Missing columns"):
+    with pytest.raises(ValueError, match="missing"):
         load_claims_lines(spark, put(tmp_path / "b.csv", "x,y\n1,2\n"), f"{folder}/s", f"{folder}/a", "L", AS_OF, TS)
     with pytest.raises(ValueError, match="empty"):
         load_claims_lines(spark, put(tmp_path / "c.csv", ""), f"{folder}/s", f"{folder}/a", "L", AS_OF, TS)
@@ -88,7 +88,7 @@ def test_line_load_reorders_and_refuses(spark, tmp_path, folder):
     many.mkdir()
     put(many / "1.csv", LINES)
     put(many / "2.csv", swapped + "1,10,5,2025-01-01,7,99213,E11\n")
-    with pytest.raises(Exception, match="Schema drift"):
+    with pytest.raises(Exception, match="schema drift"):
         load_claims_lines(spark, str(many), f"{folder}/s", f"{folder}/a", "L", AS_OF, TS)
 
 
@@ -117,7 +117,7 @@ def test_load_id():
 def test_publish_leaves_nothing_of_a_failed_load(spark, folder):
     df = spark.range(5)
     good, wrong = P.Output(f"{folder}/a", "x", df, 5), P.Output(f"{folder}/b", "y", df, 6, "csv")
-    with pytest.raises(ValueError, match="Expected 6"):
+    with pytest.raises(ValueError, match="should hold 6"):
         P.publish(spark, "L", [good, wrong])
     assert not glob.glob(f"{folder}/a/x") and not glob.glob(f"{folder}/b/y")
     assert not glob.glob(f"{folder}/*/_staging/*")
@@ -171,7 +171,7 @@ def test_migration_and_rerun(spark, folder):
 def test_migration_failure_is_recorded(spark, folder):
     tables = M.Tables(f"{folder}/m")
     got = M.process_claims(spark, spark.range(3), tables, "L", AS_OF, TS)
-    assert got["status"] == "FAILED" and "Schema validation failed" in got["error"]
+    assert got["status"] == "FAILED" and "schema check" in got["error"]
     assert M.audit_state(spark, tables).first()["status"] == "FAILED"
 
 

@@ -19,7 +19,7 @@ def test_schema_policies():
     schema.check_names(["a", "b"], ["b", "a"], "set")
     with pytest.raises(ValueError, match="drift"):
         schema.check_names(["a", "b"], ["b", "a"], "ordered")
-    with pytest.raises(ValueError, match=r"Missing columns=\['b'\], Extra columns=\['c'\]"):
+    with pytest.raises(ValueError, match=r"missing \['b'\], unexpected \['c'\]"):
         schema.check_names(["a", "c"], ["a", "b"], "set")
     with pytest.raises(ValueError):
         schema.check_names(["a", "a", "b"], ["a", "b"], "set")
@@ -270,6 +270,13 @@ def test_pages_in_order_over_chunks(spark):
     assert got == {"d": "\n".join(f"p{i}" for i in range(25)), "e": "\nx"}
 
 
+def test_empty_input(spark):
+    from sluice.sources.delimited import require_rows
+    assert require_rows(spark.range(1)).count() == 1
+    with pytest.raises(ValueError, match="empty"):
+        require_rows(spark.range(0))
+
+
 def test_jdbc_options():
     got = jdbc_options("jdbc:x", "claims", ["a", "b"], "a", 1, 100, 8)
     assert got["dbtable"] == "(select a, b from claims) source_rows" and got["numPartitions"] == "8"
