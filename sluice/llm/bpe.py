@@ -1,15 +1,16 @@
 """Byte-level BPE: every distinct word is encoded once for the whole corpus.
 
 Documents are cut into pre-tokens block by block (a block is some megabytes of
-text).  A block keeps its texts as codes into its own list of distinct words;
-the positions of all pre-tokens are in the codes.  The words of all blocks are
-exploded and shuffled, each distinct word is encoded once, and the ids are
-joined back to the blocks' words and put in place by position.  Hot words cost
-one row per block, not one per occurrence.
+text).  A block's distinct words are exploded into buckets by a hash of the
+word, a row per block and bucket; a bucket gathers the words of all blocks,
+encodes each distinct one once, and sends the ids home.  There they are joined
+to the block's pre-tokens, kept as codes in order of position.  A hot word
+costs one entry per block, not one per occurrence.
 """
 
 import base64
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import flat, ranges, slices, steps
-from sluice.session import materialize
 
 #: The split of texts that the rank files of byte-level vocabularies assume (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
+#: Bytes of text behind one bucket of words.
+BUCKET_BYTES = 24 << 20
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
 
 
@@ -104,43 +106,103 @@ def pre_tokens(data, offsets) -> tuple[pa.Array, np.ndarray]:
     return spans.filter(pa.array(~is_end)), np.concatenate([[0], marks - np.arange(len(marks))])
 
 
-def _code_blocks(batches):
-    task = TaskContext.get().partitionId()
-    codec = pa.Codec("zstd", compression_level=3)
-    serial = 0
+def _blocks(batches):
+    """(block, ids, codes in order, first code of each text, distinct words) of every block."""
+    task, serial = TaskContext.get().partitionId(), 0
     for batch in batches:
-        ids = batch.column(0)
         data, offsets = flat(batch.column(1))
         for i, j in steps(offsets, BLOCK_BYTES):
-            coded, vocabulary, bounds = [], {}, [0]
-            words = []
-            # Arrays of one step at a time; codes of the whole block.
+            parts, bounds = [], [np.zeros(1, np.int64)]
             for a, b in steps(offsets[i:j + 1] - offsets[i]):
                 own = offsets[i + a:i + b + 1]
                 tokens, first = pre_tokens(data[own[0]:own[-1]], own - own[0])
-                coding = tokens.dictionary_encode()
-                local = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in coding.dictionary.to_pylist()), np.uint32, len(coding.dictionary))
-                coded.append(local[coding.indices.to_numpy()] if len(tokens) else np.zeros(0, np.uint32))
-                bounds.extend((first[1:] + bounds[-1]).tolist())
-            words = list(vocabulary)
-            codes = np.concatenate(coded)
-            codes = codes.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32)
-            raw = codes.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + serial]), pa.array([ids[i:j].to_pylist()], pa.list_(ids.type)),
-                 pa.array([bounds], pa.list_(pa.int64())), pa.array([codes.itemsize], pa.int32()), pa.array([len(raw)], pa.int64()),
-                 pa.array([codec.compress(raw, asbytes=True)], pa.binary()), pa.array([words], pa.list_(pa.binary()))],
-                names=["block", "ids", "bounds", "width", "size", "codes", "words"])
+                parts.append(tokens)
+                bounds.append(first[1:] + bounds[-1][-1])
+            coding = pa.concat_arrays(parts).dictionary_encode()
+            del parts
+            yield (task << 32) + serial, batch.column(0)[i:j], coding.indices.to_numpy(), np.concatenate(bounds), coding.dictionary
             serial += 1
 
 
-def _encode_words(ranks):
+def _word_hashes(words, offsets):
+    """A 64-bit hash of every word of a flat array."""
+    lengths = np.diff(offsets)
+    powers = np.full(int(lengths.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64).cumprod()
+    mixed = (words.astype(np.uint64) + np.uint64(1)) * powers[ranges(np.zeros(len(lengths), np.int64), lengths)]
+    out = np.add.reduceat(mixed, offsets[:-1]) if len(lengths) else np.zeros(0, np.uint64)
+    return out ^ (out >> np.uint64(32))
+
+
+def _explode_words(buckets):
+    """A row per block and bucket: the block's words in the bucket, in order of their codes."""
+
     def run(batches):
-        encoding, _ = encoder(ranks.value)
-        for batch in batches:
-            words = batch.column(0)
-            ids = [np.asarray(encoding._encode_single_piece(w), np.uint32).tobytes() for w in words.to_pylist()]
-            yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.binary())], names=["word", "token_ids"])
+        codec = pa.Codec("zstd", compression_level=3)
+        for block, _, _, _, words in _blocks(batches):
+            data, offsets = flat(words)
+            bucket = (_word_hashes(data, offsets) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])) if len(order) else order
+            for a, b in zip(cut.tolist(), np.append(cut[1:], len(order)).tolist() if len(cut) else [], strict=True):
+                own = order[a:b]
+                lengths = np.diff(offsets)[own]
+                text, sizes = data[ranges(offsets[own], lengths)].tobytes(), lengths.astype(np.uint32).tobytes()
+                packed = [pa.array([codec.compress(x, asbytes=True)], pa.binary()) for x in (text, sizes)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(bucket[own[0]])]), pa.array([block]), *packed, pa.array([[len(text), len(own)]], pa.list_(pa.int64()))],
+                    names=["bucket", "block", "words", "sizes", "raw"])
+
+    return run
+
+
+def _encode_bucket(ranks):
+    """Encode every distinct word of a bucket once; the ids of each block's words, in their order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        codec, (encoding, _) = pa.Codec("zstd", compression_level=3), encoder(ranks.value)
+        texts, sizes, rows = [], [], table.to_pylist()
+        for row in rows:
+            texts.append(codec.decompress(row["words"], row["raw"][0], asbytes=True))
+            sizes.append(np.frombuffer(codec.decompress(row["sizes"], row["raw"][1] * 4, asbytes=True), np.uint32))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+        given = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(b"".join(texts))])
+        coded = given.dictionary_encode()
+        found = [encoding._encode_single_piece(w) for w in coded.dictionary.to_pylist()]
+        counts = np.fromiter(map(len, found), np.uint32, len(found))
+        pool = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
+        starts, codes = np.cumsum(counts) - counts, coded.indices.to_numpy()
+        at, out = 0, []
+        for row, own in zip(rows, sizes, strict=True):
+            code = codes[at:at + len(own)]
+            at += len(own)
+            ids, many = pool[ranges(starts[code], counts[code])], counts[code]
+            # Ids below 65536 in two bytes.
+            kind = np.uint16 if len(ids) == 0 or ids.max() < 1 << 16 else np.uint32
+            packed = [codec.compress(x.tobytes(), asbytes=True) for x in (ids.astype(kind), many)]
+            out.append((row["block"], row["bucket"], *packed, [len(ids), len(many), np.dtype(kind).itemsize]))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        return pa.table([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], names=["home", "bucket", "ids", "counts", "raw"])
+
+    return run
+
+
+def _code_texts(buckets):
+    """A row per block: its texts as codes, and each word's place among the ids sent home."""
+
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=3)
+        for block, ids, codes, bounds, words in _blocks(batches):
+            data, offsets = flat(words)
+            bucket = (_word_hashes(data, offsets) % np.uint64(buckets)).astype(np.int64)
+            place = np.empty(len(bucket), np.int64)
+            place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+            coded = place[codes].astype(np.uint16 if len(bucket) <= 1 << 16 else np.uint32)
+            # The four bytes of a code compress better apart.
+            planes = coded.view(np.uint8).reshape(-1, coded.itemsize).T.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([bounds], pa.list_(pa.int64())),
+                 pa.array([codec.compress(planes, asbytes=True)], pa.binary()), pa.array([[len(planes), coded.itemsize, len(bucket)]], pa.list_(pa.int64()))],
+                names=["block", "keys", "bounds", "codes", "raw"])
 
     return run
 
@@ -148,48 +210,51 @@ def _encode_words(ranks):
 def _place(name, id_type):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         codec = pa.Codec("zstd")
-        code = right.column("code").to_numpy()
-        data, offsets = flat(right.column("token_ids"))
-        starts, counts = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
-        starts[code], counts[code] = offsets[:-1] // 4, np.diff(offsets) // 4
-        pool = np.frombuffer(data.tobytes(), np.uint32)
+        pools, many = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+        for row in sorted(right.to_pylist(), key=lambda r: r["bucket"]):
+            n_ids, n_words, width = row["raw"]
+            pools.append(np.frombuffer(codec.decompress(row["ids"], n_ids * width, asbytes=True), np.uint16 if width == 2 else np.uint32).astype(np.uint32))
+            many.append(np.frombuffer(codec.decompress(row["counts"], n_words * 4, asbytes=True), np.uint32))
+        pool, counts = np.concatenate(pools), np.concatenate(many).astype(np.int64)
+        starts = np.cumsum(counts) - counts
         keys, lists = [], []
-        for row in left.select(["ids", "bounds", "width", "size", "codes"]).to_pylist():
-            codes = np.frombuffer(codec.decompress(row["codes"], row["size"], asbytes=True), np.uint16 if row["width"] == 2 else np.uint32)
-            bounds = np.asarray(row["bounds"])
-            out, at = [], [0]
+        for row in left.to_pylist():
+            size, width, n_words = row["raw"]
+            if n_words != len(counts):
+                raise ValueError("the documents changed between two reads of a block")
+            planes = np.frombuffer(codec.decompress(row["codes"], size, asbytes=True), np.uint8)
+            codes = np.ascontiguousarray(planes.reshape(width, -1).T).view(np.uint16 if width == 2 else np.uint32)[:, 0]
             # In steps, as the gathered index is wider than the ids.
-            for a in range(0, len(codes), 1 << 20):
-                part = codes[a:a + (1 << 20)]
-                out.append(pool[ranges(starts[part], counts[part])])
-            sizes = np.concatenate([[0], np.cumsum(counts[codes])])
-            at = sizes[bounds]
-            flat_ids = np.concatenate(out).astype(np.int32) if out else np.zeros(0, np.int32)
-            keys += row["ids"]
-            lists.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat_ids, pa.int32())))
+            out = [pool[ranges(starts[part], counts[part])] for part in (codes[a:a + (1 << 20)] for a in range(0, len(codes), 1 << 20))]
+            at = np.concatenate([[0], np.cumsum(counts[codes])])[np.asarray(row["bounds"])]
+            values = np.concatenate(out) if out else pool[:0]
+            keys += row["keys"]
+            lists.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int32))))
         return pa.table([pa.array(keys, id_type), pa.concat_arrays(lists)], names=[name, "token_ids"])
 
     return run
 
 
-def encode(docs: DataFrame, ranks_path: str, id_col="doc_id", text_col="text") -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, id_col="doc_id", text_col="text", bucket_bytes=BUCKET_BYTES) -> DataFrame:
     """Token ids of every whole text: (id_col, token_ids array<int>), one row per input row.
 
     A null or empty text has no ids; a null id stays null; repeated rows are
     encoded each.  The rank file is read on the driver and broadcast: a
-    vocabulary is a few megabytes whatever the corpus.  Blocks are written once
-    to the shared folder, so a lost executor costs a re-read.
+    vocabulary is a few megabytes whatever the corpus.  ``docs`` is read twice,
+    once for its words and once for their places, which is cheaper than
+    keeping both; it has to give the same rows in the same order, as files and
+    written tables do.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(rank_file(ranks_path))
     source = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    schema = "block long, ids array<long>, bounds array<long>, width int, size long, codes binary, words array<binary>"
-    blocks = materialize(source.mapInArrow(_code_blocks, schema), "bpe-blocks")
-    words = blocks.select("block", F.posexplode("words").alias("code", "word"))
-    encoded = words.select("word").distinct().mapInArrow(_encode_words(ranks), "word binary, token_ids binary")
-    placed = words.join(encoded, "word").select(F.col("block").alias("home"), "code", "token_ids")
+    total = docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0
+    buckets = max(1, -(-total // bucket_bytes))
+    words = source.mapInArrow(_explode_words(buckets), "bucket long, block long, words binary, sizes binary, raw array<long>")
+    sent = words.groupBy("bucket").applyInArrow(_encode_bucket(ranks), "home long, bucket long, ids binary, counts binary, raw array<long>")
+    coded = source.mapInArrow(_code_texts(buckets), "block long, keys array<long>, bounds array<long>, codes binary, raw array<long>")
     return (
-        blocks.drop("words").groupBy("block").cogroup(placed.groupBy("home"))
+        coded.groupBy("block").cogroup(sent.groupBy("home"))
         .applyInArrow(_place(id_col, pa.int64()), f"`{id_col}` long, token_ids array<int>")
     )
 

@@ -9,7 +9,9 @@ slot; a slot holds a fingerprint of the key, so that a foreign key is told
 apart, and the key's first document.  A lookup costs the same in any shard.
 """
 
+import os
 import zlib
+from array import array
 from functools import cache
 
 import numpy as np
@@ -18,34 +20,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import flat, ranges, steps
+from sluice.llm.batches import BLANK, LOWER, binary_array, flat, ranges, steps
 from sluice.session import fresh_folder
 
 END_ID = 2
 #: Ids after which a shard is closed; a longer document is a shard of its own.
 SHARD_IDS = 2 << 20
+#: Pieces whose ids a worker remembers; then it forgets those not in sight.
+_REMEMBERED = 600_000
 _GAMMA = 2
 _LEVELS = 48
 #: What stands for a document without a key.
 _NO_KEY = np.int64(-0x7FFFFFFFFFFFFFFF)
 
 
+_ALL = np.arange(256)
+#: 0 letters, 1 digits, 2 others: ASCII only.
+_KIND = np.where((_ALL | 32 >= 97) & (_ALL | 32 <= 122), 0, np.where((_ALL >= 48) & (_ALL <= 57), 1, 2)).astype(np.uint8)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@cache
-def _tokenizer(text: str):
-    from tokenizers import Tokenizer
-
-    made = Tokenizer.from_str(text)
-    made.no_truncation()
-    made.no_padding()
-    return made
-
-
 def _mix(keys, seed):
     """64-bit hash of 64-bit keys."""
     x = keys.view(np.uint64) + np.uint64((seed + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -103,26 +102,73 @@ class PerfectIndex:
         return np.where(own, slots, -1)
 
 
-def _words_to_ids(tokenizer, data, offsets):
-    """Ids of all texts of a run and the number of each.
+def _pieces(data, offsets):
+    """Pieces of texts that the tokenizer treats one by one: array, and the first piece of each text.
 
-    The normaliser and the splits of the tokenizer never look across white
-    space, so every distinct run between white space is encoded once.
+    Its normaliser and splits never look across white space.  A run of ASCII
+    without apostrophe or '<' is cut further where letters, digits and other
+    characters meet, as the tokenizer does, and lower-cased.
     """
-    raw = data.tobytes()
-    pieces = [raw[a:b].split() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    counts = np.array([len(p) for p in pieces], np.int64)
-    coded = pa.array([w for p in pieces for w in p], pa.large_binary()).dictionary_encode()
-    words = [w.decode() for w in coded.dictionary.to_pylist()]
-    found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-    sizes = np.array([len(f) for f in found], np.int64)
-    pool = np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
-    codes = coded.indices.to_numpy()
-    ids = pool[ranges(starts[codes], sizes[codes])]
-    total = np.concatenate([[0], np.cumsum(sizes[codes])])
-    first = np.concatenate([[0], np.cumsum(counts)])
-    return ids, np.diff(total[first])
+    solid = ~BLANK[data]
+    begins, ends = solid.copy(), solid.copy()
+    begins[1:] &= ~solid[:-1]
+    ends[:-1] &= ~solid[1:]
+    edge = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
+    begins[edge] |= solid[edge]
+    ends[edge - 1] |= solid[edge - 1]
+    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    if len(starts):
+        odd = np.concatenate([[0], np.cumsum((data >= 128) | (data == 39) | (data == 60))])
+        plain = odd[stops] == odd[starts]
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts[plain]] += 1
+        inside[stops[plain]] -= 1
+        simple = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        data = np.where(simple, LOWER[data], data)
+        kind = _KIND[data]
+        cut = simple.copy()
+        cut[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 1)
+        begins |= cut & solid
+        ends[:-1] |= begins[1:] & solid[:-1]
+        starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return binary_array(data, starts, stops), np.searchsorted(starts, offsets)
+
+
+class _Encoder:
+    """The library's ids of pieces; those of many pieces are remembered over a worker's tasks."""
+
+    def __init__(self, text):
+        # Tasks are the parallelism; threads of the library would contend.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(text)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.known: dict[bytes, bytes] = {}
+
+    def ids(self, data, offsets):
+        """Ids of all texts of a run and the number of each."""
+        pieces, first = _pieces(data, offsets)
+        coded = pieces.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > _REMEMBERED:
+            # What is met again and again stays.
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        made = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
+        self.known.update(zip(fresh, [array("I", e.ids).tobytes() for e in made], strict=True))
+        found = [self.known[w] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), np.uint32)
+        starts, codes = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        total = np.concatenate([[0], np.cumsum(sizes[codes])])
+        return pool[ranges(starts[codes], sizes[codes])], np.diff(total[first])
+
+
+@cache
+def _encoder(text: str) -> _Encoder:
+    return _Encoder(text)
 
 
 _SHARD = ("part int, serial int, n_docs long, n_ids long, least_key long, payload binary, bounds binary, keys binary, "
@@ -144,13 +190,13 @@ def _shard(part, serial, keys, counts, ids):
 
 def _pack(shared, end_id, shard_ids):
     def run(batches):
-        tokenizer, part, serial = _tokenizer(shared.value), TaskContext.get().partitionId(), 0
+        encoder, part, serial = _encoder(shared.value), TaskContext.get().partitionId(), 0
         keys, counts, ids, held = [], [], [], 0
         for batch in batches:
             data, offsets = flat(batch.column(1))
             own_keys = batch.column(0).fill_null(int(_NO_KEY)).to_numpy()
-            for i, j in steps(offsets, 1 << 20):
-                own, sizes = _words_to_ids(tokenizer, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            for i, j in steps(offsets, 2 << 20):
+                own, sizes = encoder.ids(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 sizes = sizes + 1
                 with_end = np.full(int(sizes.sum()), end_id, np.uint32)
                 last = np.zeros(len(with_end), bool)
