@@ -52,12 +52,6 @@ def binary_array(data, starts, ends) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(packed))])
 
 
-def slices(values: pa.Array) -> tuple[memoryview, np.ndarray]:
-    """The bytes of a binary array as one view, and its offsets."""
-    data, offsets = flat(values)
-    return memoryview(np.ascontiguousarray(data)), offsets
-
-
 def word_spans(data, offsets, is_word) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every maximal run of word bytes within a row, and each row's first run.
 

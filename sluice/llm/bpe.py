@@ -18,11 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import flat, ranges, slices, steps
+from sluice.llm.batches import flat, ranges, steps
 
 #: The split of texts that the rank files of byte-level vocabularies assume (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of text that are cut at once.
+CUT_BYTES = 1 << 20
 #: Bytes of text behind one bucket of words.
 BUCKET_BYTES = 24 << 20
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
@@ -113,7 +115,7 @@ def _blocks(batches):
         data, offsets = flat(batch.column(1))
         for i, j in steps(offsets, BLOCK_BYTES):
             parts, bounds = [], [np.zeros(1, np.int64)]
-            for a, b in steps(offsets[i:j + 1] - offsets[i]):
+            for a, b in steps(offsets[i:j + 1] - offsets[i], CUT_BYTES):
                 own = offsets[i + a:i + b + 1]
                 tokens, first = pre_tokens(data[own[0]:own[-1]], own - own[0])
                 parts.append(tokens)
@@ -274,12 +276,11 @@ def decode(tokens: DataFrame, ranks_path: str, id_col="doc_id") -> DataFrame:
             lists = batch.column(1)
             values, counts = lists.flatten(), lists.value_lengths().fill_null(0).to_numpy()
             bounds = np.concatenate([[0], np.cumsum(counts)])
-            rows = []
             for i, j in steps(bounds, 1 << 20):
-                view, at = slices(table.take(values[bounds[i]:bounds[j]]))
-                cut = at[bounds[i:j + 1] - bounds[i]]
-                rows += [bytes(view[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(rows, pa.binary())], names=[id_col, "token_ids", "decoded"])
+                data, at = flat(table.take(values[bounds[i]:bounds[j]]))
+                cut = at[bounds[i:j + 1] - bounds[i]].astype(np.int32)
+                rows = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(cut), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], lists[i:j], rows], names=[id_col, "token_ids", "decoded"])
 
     source = tokens.select(F.col(id_col), F.col("token_ids"))
     return source.mapInArrow(run, f"`{id_col}` long, token_ids array<int>, decoded binary")
