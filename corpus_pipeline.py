@@ -27,9 +27,7 @@ def redact_secrets(spark, docs, sf_dir):
 
 def encode_texts(spark, docs, sf_dir):
     """Token ids and their round trip: (doc_id, n_tokens, ids_sha256, decoded_sha256, token_ids)."""
-    path = bpe.default_ranks()
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    return bpe.digests(decoded, "token_ids")
+    return bpe.digests(bpe.encode(docs, bpe.default_ranks(), with_bytes=True), "token_ids")
 
 
 STAGES = [

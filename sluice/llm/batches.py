@@ -37,6 +37,11 @@ def steps(offsets, limit=STEP_BYTES):
         first = end
 
 
+def release() -> None:
+    """Give freed memory back; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def ranges(starts, lengths) -> np.ndarray:
     """The indexes start, start+1, ... of every range, one range after the other."""
     lengths = np.asarray(lengths, np.int64)

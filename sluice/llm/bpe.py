@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import flat, ranges, steps
+from sluice.llm.batches import flat, ranges, release, steps
 
 #: The split of texts that the rank files of byte-level vocabularies assume (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text that are cut at once.
 CUT_BYTES = 1 << 20
 #: Bytes of text behind one bucket of words.
@@ -122,6 +122,7 @@ def _blocks(batches):
                 bounds.append(first[1:] + bounds[-1][-1])
             coding = pa.concat_arrays(parts).dictionary_encode()
             del parts
+            release()
             yield (task << 32) + serial, batch.column(0)[i:j], coding.indices.to_numpy(), np.concatenate(bounds), coding.dictionary
             serial += 1
 
@@ -209,7 +210,15 @@ def _code_texts(buckets):
     return run
 
 
-def _place(name, id_type):
+def _bytes_of(values, bounds, table):
+    """The bytes of every run of ids: the token-byte table joined by position in it."""
+    data, at = flat(table.take(values))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(at[bounds].astype(np.int32)), pa.py_buffer(data)])
+
+
+def _place(names, id_type, ranks):
+    """The ids of a block's texts by position, and their bytes if there is a third name."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         codec = pa.Codec("zstd")
         pools, many = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
@@ -219,7 +228,7 @@ def _place(name, id_type):
             many.append(np.frombuffer(codec.decompress(row["counts"], n_words * 4, asbytes=True), np.uint32))
         pool, counts = np.concatenate(pools), np.concatenate(many).astype(np.int64)
         starts = np.cumsum(counts) - counts
-        keys, lists = [], []
+        keys, columns = [], [[], []]
         for row in left.to_pylist():
             size, width, n_words = row["raw"]
             if n_words != len(counts):
@@ -227,19 +236,27 @@ def _place(name, id_type):
             planes = np.frombuffer(codec.decompress(row["codes"], size, asbytes=True), np.uint8)
             codes = np.ascontiguousarray(planes.reshape(width, -1).T).view(np.uint16 if width == 2 else np.uint32)[:, 0]
             # In steps, as the gathered index is wider than the ids.
-            out = [pool[ranges(starts[part], counts[part])] for part in (codes[a:a + (1 << 20)] for a in range(0, len(codes), 1 << 20))]
+            out = [pool[ranges(starts[part], counts[part])] for part in (codes[a:a + (1 << 18)] for a in range(0, len(codes), 1 << 18))]
             at = np.concatenate([[0], np.cumsum(counts[codes])])[np.asarray(row["bounds"])]
-            values = np.concatenate(out) if out else pool[:0]
+            values = pa.array((np.concatenate(out) if out else pool[:0]).view(np.int32))
             keys += row["keys"]
-            lists.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int32))))
-        return pa.table([pa.array(keys, id_type), pa.concat_arrays(lists)], names=[name, "token_ids"])
+            columns[0].append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), values))
+            if len(names) == 3:
+                columns[1].append(_bytes_of(values, at, encoder(ranks.value)[1]))
+        table = pa.table([pa.array(keys, id_type), *(pa.concat_arrays(c) for c in columns if c)], names=names)
+        del columns, pools, many
+        release()
+        return table
 
     return run
 
 
-def encode(docs: DataFrame, ranks_path: str, id_col="doc_id", text_col="text", bucket_bytes=BUCKET_BYTES) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, id_col="doc_id", text_col="text", with_bytes=False, bucket_bytes=BUCKET_BYTES) -> DataFrame:
     """Token ids of every whole text: (id_col, token_ids array<int>), one row per input row.
 
+    ``with_bytes`` decodes the ids where they are placed and adds ``decoded``,
+    which spares reading them once more.
+
     A null or empty text has no ids; a null id stays null; repeated rows are
     encoded each.  The rank file is read on the driver and broadcast: a
     vocabulary is a few megabytes whatever the corpus.  ``docs`` is read twice,
@@ -255,10 +272,9 @@ def encode(docs: DataFrame, ranks_path: str, id_col="doc_id", text_col="text", b
     words = source.mapInArrow(_explode_words(buckets), "bucket long, block long, words binary, sizes binary, raw array<long>")
     sent = words.groupBy("bucket").applyInArrow(_encode_bucket(ranks), "home long, bucket long, ids binary, counts binary, raw array<long>")
     coded = source.mapInArrow(_code_texts(buckets), "block long, keys array<long>, bounds array<long>, codes binary, raw array<long>")
-    return (
-        coded.groupBy("block").cogroup(sent.groupBy("home"))
-        .applyInArrow(_place(id_col, pa.int64()), f"`{id_col}` long, token_ids array<int>")
-    )
+    names = [id_col, "token_ids"] + ["decoded"] * with_bytes
+    schema = f"`{id_col}` long, token_ids array<int>" + ", decoded binary" * with_bytes
+    return coded.groupBy("block").cogroup(sent.groupBy("home")).applyInArrow(_place(names, pa.int64(), ranks), schema)
 
 
 def decode(tokens: DataFrame, ranks_path: str, id_col="doc_id") -> DataFrame:
@@ -277,9 +293,7 @@ def decode(tokens: DataFrame, ranks_path: str, id_col="doc_id") -> DataFrame:
             values, counts = lists.flatten(), lists.value_lengths().fill_null(0).to_numpy()
             bounds = np.concatenate([[0], np.cumsum(counts)])
             for i, j in steps(bounds, 1 << 20):
-                data, at = flat(table.take(values[bounds[i]:bounds[j]]))
-                cut = at[bounds[i:j + 1] - bounds[i]].astype(np.int32)
-                rows = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(cut), pa.py_buffer(data)])
+                rows = _bytes_of(values[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], table)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], lists[i:j], rows], names=[id_col, "token_ids", "decoded"])
 
     source = tokens.select(F.col(id_col), F.col("token_ids"))
@@ -304,4 +318,4 @@ def default_ranks() -> str:
 def round_trip(docs: DataFrame, ranks_path=None) -> DataFrame:
     """Encode, decode and digest: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
     ranks_path = ranks_path or default_ranks()
-    return digests(decode(encode(docs, ranks_path), ranks_path))
+    return digests(encode(docs, ranks_path, with_bytes=True))

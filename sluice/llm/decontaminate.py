@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import LOWER, binary_array, flat, steps, word_spans
+from sluice.llm.batches import LOWER, binary_array, flat, release, steps, word_spans
 
 WINDOW_WORDS = 10
 #: Bytes of benchmark text that one broadcast set is made of; more is scanned in several passes.
@@ -125,6 +125,7 @@ def _scan(shared, text_col, carry):
                     all_hits.append([{"first": a - zero, "end": b - zero, "start_byte": int(starts[a]) - base, "end_byte": int(ends[b - 1]) - base} for a, b in own])
                     all_items.append(sorted(items.get(r, ())))
             counts = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
+            release()
             made = [pa.array(counts, pa.int64()), pa.array(all_hits, _HITS), pa.array(all_items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([table[c] for c in carry] + made, names=[*carry, "_words", "_found", "_of"])
 

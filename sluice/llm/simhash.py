@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import LOWER, flat, steps
+from sluice.llm.batches import LOWER, flat, release, steps
 from sluice.llm.components import components
 from sluice.session import materialize
 
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE
             data, offsets = flat(batch.column(1))
             found = [_fingerprints(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], size, seed) for i, j in steps(offsets, 2 << 20)]
             values = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            release()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[id_col, "fingerprint"])
 
     source = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.batches import binary_array, flat, steps, word_spans
+from sluice.llm.batches import binary_array, flat, release, steps, word_spans
 from sluice.session import materialize
 
 #: Labelled rows that voters, label model and classifier are fitted on: about this many, chosen by a hash of the id.
@@ -232,6 +232,7 @@ def score(docs: DataFrame, model: Model, carry=("doc_id",), text_col="text") ->
                 row, feature = _present(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], place.get)
                 total[i:j] += np.bincount(row, weights[feature], minlength=j - i)
             made = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+            release()
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(carry))), pa.array(made)], names=[*carry, "tox_score"])
 
     given = docs.select(*carry, F.col(text_col).alias("_tox_text"))
