@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.batches import BLANK, LOWER, binary_array, flat, steps, word_spans
+from sluice.session import materialize
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -149,7 +150,8 @@ def references(docs: DataFrame, text_col="text", lang_col="lang", common=COMMON_
     a language that are not among its ``common`` commonest; ties go by bytes.
     """
     parts = docs.select(language_key(F.col(lang_col)).alias("lang"), F.col(text_col)).mapInArrow(_totals, "lang string, word binary, kind int, n long")
-    summed = parts.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n"))
+    # Read three times below, so written once.
+    summed = materialize(parts.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")), "language-counts")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     words = summed.where("kind = -1")
     top = words.withColumn("rank", rank).where(F.col("rank") <= common).drop("rank")

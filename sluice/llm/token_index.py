@@ -202,13 +202,19 @@ def _pack(shared, end_id, shard_ids):
                 last = np.zeros(len(with_end), bool)
                 last[np.cumsum(sizes) - 1] = True
                 with_end[~last] = own
-                if held and held + len(with_end) > shard_ids:
-                    yield _shard(part, serial, keys, counts, ids)
-                    keys, counts, ids, held, serial = [], [], [], 0, serial + 1
-                keys.append(own_keys[i:j])
-                counts.append(sizes)
-                ids.append(with_end)
-                held += len(with_end)
+                ends, done = np.cumsum(sizes), 0
+                while done < len(sizes):
+                    before = int(ends[done - 1]) if done else 0
+                    fits = int(np.searchsorted(ends, before + shard_ids - held, "right"))
+                    if fits <= done and held:
+                        yield _shard(part, serial, keys, counts, ids)
+                        keys, counts, ids, held, serial = [], [], [], 0, serial + 1
+                        continue
+                    fits = max(fits, done + 1)
+                    keys.append(own_keys[i + done:i + fits])
+                    counts.append(sizes[done:fits])
+                    ids.append(with_end[before:int(ends[fits - 1])])
+                    held, done = held + int(ends[fits - 1]) - before, fits
         if keys:
             yield _shard(part, serial, keys, counts, ids)
 
