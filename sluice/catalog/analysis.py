@@ -112,15 +112,18 @@ def json_records(spark, sf_dir):
     return records.select(back.alias("r")).select("r.*")
 
 
-@query("""select conv_id doc_id, string_agg(text, chr(10) order by turn) as "text" from conversations group by conv_id""")
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query(f"""select conv_id doc_id, trim(string_agg(text, chr(10) order by turn), {_BLANK}) as "text" from conversations group by conv_id""")
 def pages_concat(spark, sf_dir):
     pages = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), "text")
     return join_pages(pages)
 
 
-@query("""select conv_id doc_id, string_agg(chr(10) || '--- PAGE ' || cast(turn as varchar) || ' ---' || chr(10) || text,
-  chr(10) order by turn) as "text" from conversations group by conv_id""")
+@query(f"""select conv_id doc_id, trim(string_agg(chr(10) || '--- PAGE ' || cast(turn as varchar) || ' ---' || chr(10) || text,
+  chr(10) order by turn), {_BLANK}) as "text" from conversations group by conv_id""")
 def scanned_pages_concat(spark, sf_dir):
     pages = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), "text")

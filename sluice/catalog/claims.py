@@ -332,7 +332,9 @@ def coerce_numeric(spark, sf_dir):
 texts as (select claim_id, case when service_date = 'bad-date' then service_date
   when diagnosis_code = 'D1' then y || '/' || m || '/' || d when diagnosis_code = 'D2' then m || '/' || d || '/' || y
   when diagnosis_code = 'D3' then m || '-' || d || '-' || y
-  when diagnosis_code = 'D4' then service_date || ' 10:30:00' else service_date end day_text,
+  when diagnosis_code = 'D4' then service_date || ' 10:30:00'
+  when diagnosis_code = 'D5' then y || '-' || ltrim(m, '0') || '-' || ltrim(d, '0')
+  when diagnosis_code = 'D6' then y || m || d when diagnosis_code = 'D7' then service_date || 'T10:30:00Z' else service_date end day_text,
   case when service_date <> 'bad-date' then cast(y || '-' || m || '-' || d as date) end as day from parts)
 select claim_id, day_text, day, year(day) as "year", month(day) as "month", day(day) day_of_month from texts""")
 def coerce_date(spark, sf_dir):
@@ -342,7 +344,9 @@ def coerce_date(spark, sf_dir):
     text = (
         F.when(s == "bad-date", s).when(g == "D1", F.concat_ws("/", y, m, d))
         .when(g == "D2", F.concat_ws("/", m, d, y)).when(g == "D3", F.concat_ws("-", m, d, y))
-        .when(g == "D4", F.concat(s, F.lit(" 10:30:00"))).otherwise(s))
+        .when(g == "D4", F.concat(s, F.lit(" 10:30:00")))
+        .when(g == "D5", F.concat_ws("-", y, F.ltrim(m, F.lit("0")), F.ltrim(d, F.lit("0"))))
+        .when(g == "D6", F.concat(y, m, d)).when(g == "D7", F.concat(s, F.lit("T10:30:00Z"))).otherwise(s))
     text = F.when(s.isNotNull(), text)
     df = claims_src(spark, sf_dir).select("claim_id", text.alias("day_text"))
     df = df.withColumn("day", K.to_day("day_text"))

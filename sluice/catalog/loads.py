@@ -72,19 +72,19 @@ _FILE_LINES = f"""{FILE_CLAIMS}, faulty as (select *, {_FAULT} fault,
   concat_ws(',', coalesce(provider_id, ''), coalesce(claim_amount, ''), coalesce(claim_id, ''),
     coalesce(service_date, ''), coalesce(patient_id, ''), coalesce(procedure_code, ''),
     coalesce(diagnosis_code, '')) line from file_claims)"""
-_LINE_SQL = """case fault when 'extra' then line || ',EXTRA_FIELD' when 'few' then provider_id || ',' || claim_id
+_LINE_SQL = """case fault when 'extra' then line || ',EXTRA_FIELD' when 'few' then coalesce(provider_id, '') || ',' || claim_id
   when 'quote' then '"' || line when 'blank' then ' ' else line end"""
 
 
 def write_claim_lines(spark, sf_dir):
     """Text files with a header line each, as a partner would deliver them."""
     folder = fresh_folder(spark, "claim-lines")
-    claims = file_claims(spark, sf_dir).filter(F.col("provider_id").isNotNull())
+    claims = file_claims(spark, sf_dir)
     fault = F.expr(_FAULT)
     line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in CLAIM_COLUMNS_LINES])
     text = (
         F.when(fault == "extra", F.concat(line, F.lit(",EXTRA_FIELD")))
-        .when(fault == "few", F.concat_ws(",", "provider_id", "claim_id"))
+        .when(fault == "few", F.concat_ws(",", F.coalesce("provider_id", F.lit("")), "claim_id"))
         .when(fault == "quote", F.concat(F.lit('"'), line)).when(fault == "blank", " ").otherwise(line))
     header = ",".join(CLAIM_COLUMNS_LINES)
     # The header is the only column's name; separator and quote never occur.
@@ -99,7 +99,7 @@ def write_claim_lines(spark, sf_dir):
 def _coerced(rule):
     # In raw lines a missing diagnosis is an empty text, which is a value.
     inner = rule.replace("from file_claims", "from (select * replace (coalesce(diagnosis_code, '') as diagnosis_code) "
-                         "from faulty where provider_id is not null and fault is null)")
+                         "from faulty where fault is null)")
     return f"""{inner}, flagged as (select *, count(*) over (partition by claim_id) > 1 is_duplicate from coerced),
 judged as (select *, coalesce(not is_duplicate and provider_id % 1 = 0 and patient_id % 1 = 0 and claim_id % 1 = 0
   and claim_amount >= 0 and service_date <= date '{AS_OF}'
@@ -132,7 +132,7 @@ def claims_lines_load_v3(spark, sf_dir):
 
 @query(f"""with {_FILE_LINES} select case fault when 'extra' then 'row has extra columns'
   when 'few' then 'row has too few columns' when 'quote' then 'broken quoted row' else 'empty row' end reason,
-  {_LINE_SQL} raw_row from faulty where provider_id is not null and fault is not null""")
+  {_LINE_SQL} raw_row from faulty where fault is not null""")
 def claims_lines_structural_archive(spark, sf_dir):
     root = _line_load(spark, sf_dir, "numeric")
     schema = "line_number string, reason string, raw_row string"
@@ -271,7 +271,10 @@ def merge_load_reject_count(spark, sf_dir):
 
 _PROGRAMS = {"click": ("success_split_files", "a1b2-01", "Prog-Click", "|"),
              "view": ("unprocessed_transactions", "c3d4-02", "Prog-View", "|"),
-             "purchase": ("success_split_files", "e5f6-03", "Prog-Buy", "|")}
+             "purchase": ("success_split_files", "e5f6-03", "Prog-Buy", "|"),
+             "signup": ("unprocessed_transactions", "g7h8-04", "Prog-Sign", "|"),
+             # A folder that the intake does not watch.
+             "error": ("foreign_files", "i9j0-05", "Prog-Err", "|")}
 
 
 def _arrive(spark, sf_dir, root):
@@ -302,8 +305,9 @@ _FOLDERS = " ".join(f"when '{k}' then '{f}'" for k, (f, _, _, _) in _PROGRAMS.it
 @query(f"""with rows_in as (select case event_type {_CASES} end program_name,
   concat_ws(',', cast(event_id as varchar), cast(user_id as varchar), event_type, cast(cast(ts as date) as varchar))
     row_as_string, case event_type {_IDS} end file_uuid, case event_type {_FOLDERS} end folder
-  from events where event_type in ({', '.join(f"'{k}'" for k in _PROGRAMS)}))
-select t.target, r.* from rows_in r, (values ('one'), ('two')) t(target)""")
+  from events)
+select t.target, r.* from rows_in r, (values ('one'), ('two')) t(target)
+where folder in ('success_split_files', 'unprocessed_transactions')""")
 def split_file_intake(spark, sf_dir):
     """Arriving files to two targets; the second call finds nothing new."""
     root = fresh_folder(spark, "intake")

@@ -7,11 +7,16 @@ from sluice.functions.text import column, strip
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 DIGITS_PATTERN = "^[0-9]+$"
 # Accepted layouts other than yyyy-MM-dd: shape test and format.
-ISO_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?$"
+ISO_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 DATE_LAYOUTS = [
     (r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
     (r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-yyyy"),
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
+    (r"^[0-9]{8}$", "yyyyMMdd"),
+    (r"^[0-9]{1,2}[ -][A-Za-z]{3}[ -][0-9]{4}$", "d MMM yyyy"),
+    (r"^[A-Za-z]{3} [0-9]{1,2},? [0-9]{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,9} [0-9]{1,2},? [0-9]{4}$", "MMMM d yyyy"),
 ]
 # Texts that a header CSV scan reads as missing.
 MISSING_TOKENS = [
@@ -38,8 +43,16 @@ def to_number(c, bare=False) -> Column:
 
 
 def to_decimal(c, bare=False, precision=38, scale=10) -> Column:
-    """Exact decimal; identifiers keep all their digits."""
-    return _text(c, bare).try_cast(f"decimal({precision},{scale})")
+    """Exact decimal; identifiers keep all their digits.
+
+    A fraction too small for the scale stays one: its last place is 1, so that
+    no number becomes whole by rounding.
+    """
+    text = _text(c, bare)
+    value = text.try_cast(f"decimal({precision},{scale})")
+    fine = text.rlike(f"^[^eE]*[.][0-9]{{{scale}}}[0-9]*[1-9]") & (value % 1 == 0)
+    cut = F.concat(F.regexp_extract(text, f"^[^.]*[.][0-9]{{{scale - 1}}}", 0), F.lit("1"))
+    return F.when(fine, cut.try_cast(f"decimal({precision},{scale})")).otherwise(value)
 
 
 def to_amount(c) -> Column:
@@ -74,7 +87,7 @@ def to_digits(c, bare=False) -> Column:
 
 
 def to_day(c, bare=False) -> Column:
-    """Date from the accepted layouts, ISO first; times of day are dropped.
+    """Date from the accepted layouts, ISO first; times of day and zones are dropped.
 
     Each format is tried only on text of its shape; plain ISO text costs one
     cast and no pattern.
@@ -84,7 +97,11 @@ def to_day(c, bare=False) -> Column:
     day = F.when(plain, text.try_cast("date")).when(
         text.rlike(ISO_TIME_PATTERN), F.substring(text, 1, 10).try_cast("date"))
     for shape, layout in DATE_LAYOUTS:
-        day = day.when(text.rlike(shape), F.try_to_date(text, layout))
+        words = text
+        if "MMM" in layout:
+            # One blank between the parts, and the month as the format spells it.
+            words = F.initcap(F.regexp_replace(F.replace(text, F.lit(","), F.lit("")), "[ -]", " "))
+        day = day.when(text.rlike(shape), F.try_to_date(words, layout))
     return day
 
 

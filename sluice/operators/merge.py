@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice.functions.hashing import random_hash, record_hash
 from sluice.operators.dedupe import keep_first, mark_first
-from sluice.operators.rules import is_target_valid, target_reason
+from sluice.operators.rules import is_target_invalid, is_target_valid, target_reason
 
 DUPLICATE_REASON = "duplicate claim_id in stage load"
 # Latest first, the hash breaks ties.
@@ -32,7 +32,7 @@ def winners(stage: DataFrame, as_of, key="claim_id", order=MERGE_ORDER, enforce_
 
 def invalid_rejects(stage: DataFrame, as_of, enforce_codes=False) -> DataFrame:
     """Rows the merge refuses, with the first reason that fits."""
-    refused = stage.filter(~is_target_valid(as_of, enforce_codes))
+    refused = stage.filter(is_target_invalid(as_of, enforce_codes))
     return refused.withColumn("rejection_reason", target_reason(as_of))
 
 

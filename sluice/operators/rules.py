@@ -211,8 +211,13 @@ def target_reason(as_of, codes=TARGET_PROCEDURE_CODES) -> Column:
     return first_broken(target_rules(as_of, codes), "unknown validation failure")
 
 
+def is_target_invalid(as_of, enforce_codes=False, codes=TARGET_PROCEDURE_CODES) -> Column:
+    """Rows the merge refuses: all that are not valid, also where a test is null."""
+    return ~F.coalesce(is_target_valid(as_of, enforce_codes, codes), F.lit(False))
+
+
 def is_target_valid(as_of, enforce_codes=False, codes=TARGET_PROCEDURE_CODES) -> Column:
-    """Rows the merge accepts.
+    """Rows the merge accepts, as bare conjuncts that a scan can take over.
 
     A procedure code outside the list does not reject a row by itself, though
     it is the reason shown if the row is rejected; ``enforce_codes`` changes
@@ -226,7 +231,7 @@ def is_target_valid(as_of, enforce_codes=False, codes=TARGET_PROCEDURE_CODES) ->
     )
     if enforce_codes:
         valid = valid & F.col("procedure_code").isin(list(codes))
-    return F.coalesce(valid, F.lit(False))
+    return valid
 
 
 def reason_fits(reason="rejection_reason") -> Column:

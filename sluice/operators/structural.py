@@ -70,12 +70,12 @@ def check_lines(lines: DataFrame, n_columns: int) -> DataFrame:
     return with_fields.withColumn("reason", structural_reason("raw_row", "fields", n_columns))
 
 
-def structural_split(lines: DataFrame, header, keep_truncated=False):
+def structural_split(lines: DataFrame, header, keep_truncated=True):
     """(clean, bad) of data lines.
 
     ``clean`` has the header's columns as text; ``bad`` has one row per reason.
     A truncated last line is reported in addition to its own reason, and is
-    left out of ``clean`` unless ``keep_truncated`` is set.
+    left out of ``clean`` if ``keep_truncated`` is false.
     """
     checked = check_lines(lines, len(header))
     has_cut = "truncated" in lines.columns

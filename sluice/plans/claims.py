@@ -95,7 +95,7 @@ def data_lines(lines: DataFrame, header) -> DataFrame:
     return lines.filter(is_data)
 
 
-def typed_lines(lines: DataFrame, header, integers="numeric", keep_truncated=False) -> DataFrame:
+def typed_lines(lines: DataFrame, header, integers="numeric", keep_truncated=True) -> DataFrame:
     """One narrow pass: structure, columns, types.
 
     ``structural`` holds the reasons of a bad line, ``is_row`` tells whether
@@ -123,7 +123,7 @@ def checked_claims(rows: DataFrame, as_of, integers="numeric", codes=FILE_PROCED
 
 
 def load_claims_lines(spark: SparkSession, paths, stage_path, archive_path, load_id, as_of, run_ts,
-                      integers="numeric", codes=FILE_PROCEDURE_CODES, keep_truncated=False,
+                      integers="numeric", codes=FILE_PROCEDURE_CODES, keep_truncated=True,
                       count_rules=False) -> dict:
     """Raw claim lines to stage, business archive and structural archive.
 

@@ -21,7 +21,7 @@ from sluice.session import materialize
 from sluice.sinks.publish import (
     Output, next_version, publish, read_version, remove, switch_version, write_aside,
 )
-from sluice.sinks.tables import append_rows, read_load_table, write_load
+from sluice.sinks.tables import append_rows, path_exists, read_load_table
 
 PROCESS_NAME = "claims_migration"
 SOURCE_DUPLICATE = "duplicate claim_id in source chunk"
@@ -127,7 +127,10 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
     """Extract, quarantine, stage, merge, reconcile; always returns a result record."""
     at = run_ts
     counts = {"source_rows_read": 0, "source_rows_quarantined": 0, "staged_rows_loaded": 0}
-    write_audit(spark, tables, audit.started(load_id, PROCESS_NAME, at))
+    attempt = 0
+    if path_exists(spark, tables.audit):
+        attempt = audit.next_attempt(spark.read.schema(AUDIT_EVENT_SCHEMA).parquet(tables.audit), load_id)
+    write_audit(spark, tables, audit.started(load_id, PROCESS_NAME, at, attempt))
     try:
         checked = surrogate_id(source_checked(source, as_of), "source_row")
         rows = materialize(checked, "source-rows")
@@ -148,18 +151,19 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
         rows_out = publish(spark, load_id, [
             files,
             stage_output(split.filter("is_kept"), tables.stage, load_id, at, good, "source_row"),
+            # Replaced as a whole, also by no rows, so a corrected source leaves nothing behind.
+            Output(tables.root, f"quarantine/load_id={load_id}", quarantine_rows(bad, load_id, at).drop("load_id"), quarantined),
         ])
-        write_load(quarantine_rows(bad, load_id, at), tables.quarantine)
         counts["staged_rows_loaded"] = rows_out[f"load_id={load_id}"]
-        write_audit(spark, tables, audit.progress(load_id, PROCESS_NAME, at, 0, **counts))
+        write_audit(spark, tables, audit.progress(load_id, PROCESS_NAME, at, 0, attempt, **counts))
         audit.check_batch(good, counts["staged_rows_loaded"])
 
         merged = merge_load(spark, tables, load_id, as_of, at, policy, hash_mode, enforce_codes)
         write_audit(spark, tables, audit.succeeded(
-            load_id, PROCESS_NAME, at, merged["rejected_total"], merged["upserted_rows"]))
+            load_id, PROCESS_NAME, at, merged["rejected_total"], merged["upserted_rows"], attempt))
         expected = counts["source_rows_read"] - counts["source_rows_quarantined"]
         status = "MATCH" if expected == counts["staged_rows_loaded"] else "MISMATCH"
-        write_audit(spark, tables, audit.reconciled(load_id, PROCESS_NAME, at, status))
+        write_audit(spark, tables, audit.reconciled(load_id, PROCESS_NAME, at, status, attempt))
         return {
             "status": "SUCCESS", "load_id": load_id, **counts,
             "target_rows_rejected": merged["rejected_rows"],
@@ -168,7 +172,7 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
             "reconciliation_status": status, "quarantine_files": [files.published],
         }
     except Exception as error:
-        write_audit(spark, tables, audit.failed(load_id, PROCESS_NAME, at, error))
+        write_audit(spark, tables, audit.failed(load_id, PROCESS_NAME, at, error, attempt))
         return {"status": "FAILED", "load_id": load_id, "error": str(error), **counts, "quarantine_files": []}
 
 

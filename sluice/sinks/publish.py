@@ -8,10 +8,11 @@ drops what it staged and leaves published data alone.
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from sluice.sinks.archive import write_csv
-from sluice.sinks.tables import hadoop_path
+from sluice.sinks.tables import hadoop_path, path_exists
 
 
 @dataclass
@@ -55,13 +56,10 @@ class Output:
         return found
 
 
-def move(spark: SparkSession, source, target) -> None:
-    """Move a folder to its place; an earlier one there gives way."""
+def rename(spark: SparkSession, source, target) -> None:
     fs, src = hadoop_path(spark, source)
     _, dst = hadoop_path(spark, target)
     fs.mkdirs(dst.getParent())
-    if fs.exists(dst):
-        fs.delete(dst, True)
     if not fs.rename(src, dst):
         raise OSError(f"could not move {source} to {target}")
 
@@ -72,16 +70,30 @@ def remove(spark: SparkSession, path) -> None:
 
 
 def publish(spark: SparkSession, load_id, outputs) -> dict:
-    """Stage and check every output, then promote them; rows by output name."""
-    rows = {}
+    """Stage and check every output, then promote them; rows by output name.
+
+    What an output replaces is set aside first.  If a promotion or the recount
+    after it fails, everything promoted so far is taken back, in reverse order,
+    and the earlier data returns to its place.
+    """
+    rows, undo = {}, []
     try:
         for out in outputs:
             out.write(out.staged(load_id))
             rows[out.name] = out.check(out.staged(load_id), "recount before publishing")
         for out in outputs:
-            move(spark, out.staged(load_id), out.published)
+            aside = f"{out.staged(load_id)}.replaced"
+            if path_exists(spark, out.published):
+                rename(spark, out.published, aside)
+                undo.append((aside, out.published))
+            rename(spark, out.staged(load_id), out.published)
+            undo.append((out.published, out.staged(load_id)))
         for out in outputs:
             out.check(out.published, "recount after publishing")
+    except BaseException:
+        for source, target in reversed(undo):
+            rename(spark, source, target)
+        raise
     finally:
         for out in outputs:
             remove(spark, f"{out.root}/_staging/{load_id}")
@@ -91,17 +103,27 @@ def publish(spark: SparkSession, load_id, outputs) -> dict:
 # -- versioned tables -------------------------------------------------------
 #
 # A table without MERGE is rewritten beside itself: <root>/<version>/ holds
-# the rows, and an empty file <root>/_versions/<version> makes it readable.
-# Versions sort by name, the last one counts.  Nothing is overwritten, so a
-# reader of the version before is not disturbed, and two writers that race
-# for one number cannot both win.
+# the rows, and a file <root>/_versions/<number> that names the version makes it
+# readable.  The highest number counts.  Nothing is overwritten, so a reader of
+# the version before is not disturbed, and as the file of a number is created
+# once, two writers that race for one number cannot both win.
 
 
 def version_names(spark: SparkSession, root):
     fs, folder = hadoop_path(spark, f"{root}/_versions")
     if not fs.exists(folder):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    numbers = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    return [_named_version(spark, f"{root}/_versions/{n}") for n in numbers]
+
+
+def _named_version(spark: SparkSession, marker):
+    fs, path = hadoop_path(spark, marker)
+    stream = fs.open(path)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
 
 
 def current_version(spark: SparkSession, root):
@@ -133,8 +155,11 @@ def write_aside(df: DataFrame, root, version) -> str:
 
 def switch_version(spark: SparkSession, root, version) -> None:
     """Make a written version the current one."""
-    fs, marker = hadoop_path(spark, f"{root}/_versions/{version}")
     number = version.split("-")[0]
-    if any(name.split("-")[0] == number for name in version_names(spark, root)):
-        raise OSError(f"{root}: another writer published version {number}")
-    fs.create(marker, False).close()
+    fs, marker = hadoop_path(spark, f"{root}/_versions/{number}")
+    try:
+        stream = fs.create(marker, False)
+    except Py4JJavaError as error:
+        raise OSError(f"{root}: another writer published version {number}") from error
+    stream.writeUTF(version)
+    stream.close()

@@ -14,13 +14,33 @@ def require_rows(df: DataFrame, message="input is empty") -> DataFrame:
     return df
 
 
+_RECORD = "_whole_record"
+
+
 def read_csv(spark: SparkSession, path, sep=",") -> DataFrame:
-    """Header CSV scan; every column text, missing-value tokens as null."""
+    """Header CSV scan; every column text, missing-value tokens as null.
+
+    Every file must have the first one's header, in its order, and a row with
+    more fields than the header ends the scan: nothing is cut off or shifted
+    silently.  A row with fewer fields has nulls for the rest.
+    """
+    reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RECORD]])
     df = (
-        spark.read.option("header", True).option("sep", sep).option("quote", '"')
-        .option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+        reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD)
+        .option("enforceSchema", False)
+        # Whole records, also where few columns are wanted: else long ones pass unseen.
+        .option("columnPruning", False).csv(path)
     )
-    return df.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    # Of the records that do not fit, those with a value for every column are too long.
+    record = F.col(_RECORD)
+    bare = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    fields = 1 + F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))
+    too_long = F.raise_error(F.concat(F.lit("row has extra columns: "), record)).cast("string")
+    return df.select(*[
+        F.when(record.isNotNull() & (fields > len(names)), too_long).otherwise(missing_to_null(F.col(f"`{c}`"))).alias(c)
+        for c in names])
 
 
 def read_typed_csv(spark: SparkSession, path, schema: T.StructType = CLAIMS_FILE_SCHEMA) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.functions.paths import object_name
+from sluice.functions.text import strip
 
 
 def read_documents(spark: SparkSession, folder, pattern="*.txt") -> DataFrame:
@@ -23,7 +24,7 @@ def join_pages(pages: DataFrame, doc="doc_id", page="page_no", text="text",
                page_headers=False, pages_per_chunk=10_000) -> DataFrame:
     """(doc, text): pages in order, joined by a line feed.
 
-    Scanned pages get a header line each.  Long documents are joined in two
+    Scanned pages get a header line each; the joined text is stripped.  Long documents are joined in two
     steps, so that one task never orders more than a chunk of page rows and
     the last step sees one row per chunk.
     """
@@ -40,4 +41,4 @@ def join_pages(pages: DataFrame, doc="doc_id", page="page_no", text="text",
         return F.array_join(F.transform(items, lambda i: i["body"]), "\n")
 
     chunks = rows.groupBy(doc, "chunk").agg(joined("part").alias("body"))
-    return chunks.groupBy(doc).agg(joined("chunk").alias("text"))
+    return chunks.groupBy(doc).agg(strip(joined("chunk")).alias("text"))

@@ -77,8 +77,8 @@ def test_truncated_row_is_an_additional_record(spark, tmp_path):
         (2, "broken quoted row"), (2, "truncated final row")]
     path = write(tmp_path / "y.csv", "1,2,3,4,5,6,7\n1,2,3,4,5,6,8")
     lines = read_lines(spark, path)
-    assert structural.structural_split(lines, HEADER)[0].count() == 1
-    assert structural.structural_split(lines, HEADER, keep_truncated=True)[0].count() == 2
+    assert structural.structural_split(lines, HEADER, keep_truncated=False)[0].count() == 1
+    assert structural.structural_split(lines, HEADER)[0].count() == 2
 
 
 def test_first_line(spark, tmp_path):

@@ -267,7 +267,7 @@ def test_pages_in_order_over_chunks(spark):
     pages = [("d", i, f"p{i}") for i in range(25)] + [("e", 1, None), ("e", 2, "x")]
     df = spark.createDataFrame(pages, "doc_id string, page_no int, text string").repartition(5)
     got = {r["doc_id"]: r["text"] for r in join_pages(df, pages_per_chunk=4).collect()}
-    assert got == {"d": "\n".join(f"p{i}" for i in range(25)), "e": "\nx"}
+    assert got == {"d": "\n".join(f"p{i}" for i in range(25)), "e": "x"}
 
 
 def test_empty_input(spark):
