@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest import PASSAGE
+from samples import PASSAGE
 from sluice.llm import chat, decontaminate, quality, secrets, toxicity, url_filters
 from sluice.llm.batches import flat
 
