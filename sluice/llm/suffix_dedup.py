@@ -364,7 +364,7 @@ def _merge(table: pa.Table) -> pa.Table:
         # Reach so far; documents are set apart by an offset beyond any text.
         far = (doc << 32) + end
         reach = np.maximum.accumulate(far)
-        head = np.flatnonzero(np.append(True, (doc << 32) [1:] + begin[1:] > reach[:-1]))
+        head = np.flatnonzero(np.append(True, (doc << 32)[1:] + begin[1:] > reach[:-1]))
         stop = reach[np.append(head[1:], len(doc)) - 1] - (doc[head] << 32)
         spans: dict[int, list] = {}
         for d, a, b in zip(doc[head].tolist(), begin[head].tolist(), stop.tolist(), strict=True):
