@@ -5,7 +5,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 HOT_ROWS = 100_000
-HOT_KEYS = 1_000
+# A hot key holds at least this share of the looked-up rows, so there are at
+# most as many of them as shares.
+HOT_SHARES = 10_000
 
 
 def key_counts(df: DataFrame, keys) -> DataFrame:
@@ -23,15 +25,16 @@ def mark_listed(df: DataFrame, listed: DataFrame, keys, name, hot_rows=HOT_ROWS)
     """Add ``name``: whether the key of a row is in ``listed``.
 
     ``listed`` has each key once, with ``key_rows``, the rows of ``df`` that
-    hold it.  The heaviest keys (at most ``HOT_KEYS``, hence a bounded
-    broadcast) are matched without a shuffle; their rows then spread over the
-    shuffle of the second lookup, where they can match nothing, so no task
-    gets all rows of a key.
+    hold it.  Every key with ``hot_rows`` rows and one of ``HOT_SHARES`` parts
+    of the rows of listed keys (hence at most ``HOT_SHARES`` keys, a bounded
+    broadcast) is matched without a shuffle; the rows then spread over the
+    shuffle of the second lookup, where they can match nothing.  What is left
+    in one task of a key is below that share of all rows.
     """
     keys = list(keys)
+    total = listed.agg(F.sum("key_rows")).scalar()
     hot = (
-        listed.filter(F.col("key_rows") >= hot_rows)
-        .orderBy(F.desc("key_rows"), *keys).limit(HOT_KEYS)
+        listed.filter((F.col("key_rows") >= hot_rows) & (F.col("key_rows") * HOT_SHARES >= total))
         .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
     )
     # key_rows % 1 is always 0; a literal would be taken out of the join keys,

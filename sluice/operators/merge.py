@@ -50,6 +50,42 @@ def losers(stage: DataFrame, as_of, key="claim_id", order=MERGE_ORDER,
     return lost.drop("is_first").withColumn("rejection_reason", F.lit(DUPLICATE_REASON))
 
 
+def hashes_differ(old, new, policy="null_safe"):
+    """Whether the policy changes an existing row with these hashes."""
+    if policy == "always":
+        return F.lit(True)
+    if policy == "null_safe":
+        return ~old.eqNullSafe(new)
+    if policy == "strict":
+        return F.coalesce(old != new, F.lit(False))
+    raise ValueError(f"unknown update policy: {policy}")
+
+
+def changed_rows(target: DataFrame, source: DataFrame, key="claim_id", policy="null_safe",
+                 hash_column="record_hash", stamp=None, stamp_column="ingested_at") -> DataFrame:
+    """The rows of ``source`` that a merge inserts or updates, as they will be stored.
+
+    Of the target only the key, and the hash where the policy asks for it, is
+    read.  Both sides have one row per key; a source row without a key is not
+    merged.
+    """
+    compared = [] if policy == "always" else [hash_column]
+    known = target.select(
+        F.col(key).alias("_key"), *[F.col(c).alias("_hash") for c in compared], F.lit(True).alias("_known"))
+    joined = source.select(*target.columns).filter(F.col(key).isNotNull()).join(
+        known, F.col(key) == F.col("_key"), "left")
+    old = F.col("_hash") if compared else F.lit(None)
+    written = joined.filter(F.col("_known").isNull() | hashes_differ(old, F.col(hash_column) if compared else old, policy))
+    if stamp is not None:
+        written = written.withColumn(stamp_column, F.lit(stamp).cast(target.schema[stamp_column].dataType))
+    return written.select(*target.columns)
+
+
+def replace_rows(old: DataFrame, changed: DataFrame, key="claim_id") -> DataFrame:
+    """``old`` with the rows of ``changed`` in place of those of the same keys."""
+    return old.join(changed.select(key), key, "left_anti").select(*changed.columns).unionByName(changed)
+
+
 def upsert(target: DataFrame, source: DataFrame, key="claim_id", policy="null_safe",
            hash_column="record_hash", stamp=None, stamp_column="ingested_at") -> DataFrame:
     """The target after the merge, with an ``action`` per row.
@@ -61,13 +97,8 @@ def upsert(target: DataFrame, source: DataFrame, key="claim_id", policy="null_sa
     columns = target.columns
     t, s = target.alias("t"), source.select(*columns).alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    if policy == "always":
-        differs = F.lit(True)
-    else:
-        old, new = F.col(f"t.{hash_column}"), F.col(f"s.{hash_column}")
-        differs = ~old.eqNullSafe(new) if policy == "null_safe" else F.coalesce(old != new, F.lit(False))
-        if policy not in ("null_safe", "strict"):
-            raise ValueError(f"unknown update policy: {policy}")
+    hashed = policy != "always"
+    differs = hashes_differ(*[F.col(f"{side}.{hash_column}") if hashed else F.lit(None) for side in "ts"], policy)
     action = (
         F.when(F.col(f"s.{key}").isNull(), KEPT)
         .when(F.col(f"t.{key}").isNull(), INSERT)

@@ -10,8 +10,8 @@ from sluice.model import (
 from sluice.operators import audit
 from sluice.operators.dedupe import mark_first, surrogate_id
 from sluice.operators.merge import (
-    DUPLICATE_REASON, INSERT, MERGE_ORDER, UPDATE, add_hash, insert_ignore, invalid_rejects,
-    ranked, upsert,
+    DUPLICATE_REASON, MERGE_ORDER, add_hash, changed_rows, insert_ignore, invalid_rejects, ranked,
+    replace_rows,
 )
 from sluice.operators.quarantine import quarantine_rows
 from sluice.operators.rules import broken_names, joined_reasons, source_rules, type_source
@@ -19,12 +19,15 @@ from sluice.operators.schema import check_schema
 from sluice.plans.claims import stage_output
 from sluice.session import materialize
 from sluice.sinks.publish import (
-    Output, next_version, publish, read_version, remove, switch_version, write_aside,
+    BUCKET, Output, current_marker, next_version, publish, read_paths, read_version, switch_version,
+    write_aside,
 )
 from sluice.sinks.tables import append_rows, path_exists, read_load_table
 
 PROCESS_NAME = "claims_migration"
 SOURCE_DUPLICATE = "duplicate claim_id in source chunk"
+# A parameter of upsert_version; small here, thousands for a large target.
+TARGET_BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -92,15 +95,19 @@ def merge_load(spark: SparkSession, tables: Tables, load_id, as_of, run_ts, poli
         refused = judged.filter(~F.col("is_first")).withColumn(
             "rejected_at", F.lit(run_ts).cast("timestamp"))
         refused = refused.select(*REJECTS_SCHEMA.names)
-        fresh = materialize(
-            insert_ignore(known, refused, ["stg_claim_row_id", "rejection_reason"]), "new-rejects")
-        known_rows = known.count()
-        tally = fresh.agg(
-            F.count("*").alias("all"),
-            F.count_if(F.col("rejection_reason") != DUPLICATE_REASON).alias("invalid")).first()
-        new_invalid, rejected_total = tally["invalid"], known_rows + tally["all"]
-        if tally["all"]:
-            fresh.write.mode("append").partitionBy("load_id").parquet(tables.rejects)
+        keys = ["stg_claim_row_id", "rejection_reason"]
+        # A reject that no longer holds, as its stage row was corrected, goes.
+        still = known.join(refused.select(*keys), keys, "left_semi").select(*REJECTS_SCHEMA.names)
+        now = materialize(
+            insert_ignore(known, refused, keys).withColumn("is_new", F.lit(True))
+            .unionByName(still.withColumn("is_new", F.lit(False))), "rejects")
+        tally = now.agg(
+            F.count("*").alias("all"), F.count_if("is_new").alias("new"),
+            F.count_if(F.col("is_new") & (F.col("rejection_reason") != DUPLICATE_REASON)).alias("invalid")).first()
+        new_invalid, rejected_total = tally["invalid"], tally["all"]
+        if tally["new"] or tally["all"] != known.count():
+            publish(spark, load_id, [Output(
+                tables.rejects, f"load_id={load_id}", now.drop("load_id", "is_new"), rejected_total)])
 
     upserted = upsert_version(
         spark, tables.target, judged.filter("is_first"), load_id, policy, run_ts)
@@ -108,18 +115,34 @@ def merge_load(spark: SparkSession, tables: Tables, load_id, as_of, run_ts, poli
 
 
 def upsert_version(spark, root, source, load_id, policy, run_ts, key="claim_id", schema=TARGET_SCHEMA,
-                   stamp_column="ingested_at") -> int:
-    """Upsert into a versioned table; returns the rows inserted or updated."""
+                   stamp_column="ingested_at", buckets=TARGET_BUCKETS) -> int:
+    """Upsert into a versioned table; returns the rows inserted or updated.
+
+    Rows lie in ``buckets`` folders by a hash of the key, a number fixed when
+    the table is created: choose it so that a bucket holds some gigabytes.
+    The changed rows are found by key and hash alone and written once; only
+    buckets that hold one of them are read as a whole and written again, and
+    without a change nothing is.
+    """
+    marker = current_marker(spark, root) or {"buckets": {}}
+    held = marker["buckets"]
+    buckets = marker.get("count", buckets)
     target = read_version(spark, root, schema)
-    merged = upsert(target, source, key, policy, stamp=run_ts, stamp_column=stamp_column)
+    in_bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    changed = materialize(
+        changed_rows(target, source, key, policy, stamp=run_ts, stamp_column=stamp_column)
+        .withColumn(BUCKET, in_bucket), "changed-rows")
+    # One row per bucket.
+    touched = {str(r[BUCKET]): r["count"] for r in changed.groupBy(BUCKET).count().collect()}
+    if not touched:
+        return 0
+    old = read_paths(spark, [f"{root}/{held[b]}/{BUCKET}={b}" for b in touched if b in held], schema)
+    merged = replace_rows(old.withColumn(BUCKET, in_bucket), changed, key)
     version = next_version(spark, root, load_id)
-    path = write_aside(merged, root, version)
-    changed = spark.read.parquet(path).filter(F.col("action").isin(INSERT, UPDATE)).count()
-    if changed:
-        switch_version(spark, root, version)
-    else:
-        remove(spark, path)
-    return changed
+    # Rebalancing gives a bucket one file, or several of even size where it is large.
+    write_aside(merged.hint("rebalance", F.col(BUCKET)), root, version, [BUCKET])
+    switch_version(spark, root, version, {**held, **{b: version for b in touched}}, buckets)
+    return sum(touched.values())
 
 
 def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_id, as_of, run_ts,
@@ -150,7 +173,8 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
             bad.select(*SOURCE_COLUMNS, "rejection_reason"), quarantined, "csv")
         rows_out = publish(spark, load_id, [
             files,
-            stage_output(split.filter("is_kept"), tables.stage, load_id, at, good, "source_row"),
+            # A staged key has one row, so the key is its identity in every run and file layout.
+            stage_output(split.filter("is_kept"), tables.stage, load_id, at, good, "claim_id"),
             # Replaced as a whole, also by no rows, so a corrected source leaves nothing behind.
             Output(tables.root, f"quarantine/load_id={load_id}", quarantine_rows(bad, load_id, at).drop("load_id"), quarantined),
         ])

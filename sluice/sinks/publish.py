@@ -6,6 +6,7 @@ readers skip folders whose name starts with an underscore.  A failed load
 drops what it staged and leaves published data alone.
 """
 
+import json
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from sluice.sinks.archive import write_csv
 from sluice.sinks.tables import hadoop_path, path_exists
 
+BUCKET = "bucket"
+
 
 @dataclass
 class Output:
@@ -102,64 +105,97 @@ def publish(spark: SparkSession, load_id, outputs) -> dict:
 
 # -- versioned tables -------------------------------------------------------
 #
-# A table without MERGE is rewritten beside itself: <root>/<version>/ holds
-# the rows, and a file <root>/_versions/<number> that names the version makes it
-# readable.  The highest number counts.  Nothing is overwritten, so a reader of
-# the version before is not disturbed, and as the file of a number is created
-# once, two writers that race for one number cannot both win.
+# A table without MERGE is written beside itself: <root>/<version>/ holds rows,
+# and a file <root>/_versions/<number> makes the version readable.  The file names
+# the version and, for a table in buckets of its key, the version that holds each
+# bucket, so that a merge writes only the buckets it touches.  The highest number
+# counts.  Nothing is overwritten, so a reader of the version before is not
+# disturbed, and as the file of a number is created once, two writers that race
+# for one number cannot both win.
 
 
-def version_names(spark: SparkSession, root):
+def _markers(spark: SparkSession, root):
     fs, folder = hadoop_path(spark, f"{root}/_versions")
     if not fs.exists(folder):
         return []
-    numbers = sorted(s.getPath().getName() for s in fs.listStatus(folder))
-    return [_named_version(spark, f"{root}/_versions/{n}") for n in numbers]
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
 
 
-def _named_version(spark: SparkSession, marker):
-    fs, path = hadoop_path(spark, marker)
+def _read_marker(spark: SparkSession, root, number):
+    fs, path = hadoop_path(spark, f"{root}/_versions/{number}")
     stream = fs.open(path)
     try:
-        return stream.readUTF()
+        return json.loads(bytes(stream.readAllBytes()).decode())
     finally:
         stream.close()
 
 
-def current_version(spark: SparkSession, root):
-    """Path of the current version, or None for a table never written."""
-    names = version_names(spark, root)
-    return f"{root}/{names[-1]}" if names else None
+def current_marker(spark: SparkSession, root):
+    """(version, buckets) of the current version, or None for a table never written."""
+    numbers = _markers(spark, root)
+    return _read_marker(spark, root, numbers[-1]) if numbers else None
+
+
+def marker_paths(root, marker):
+    """Folders that hold the rows of a version."""
+    if marker.get("buckets") is None:
+        return [f"{root}/{marker['version']}"]
+    return [f"{root}/{v}/{BUCKET}={b}" for b, v in marker["buckets"].items()]
 
 
 def next_version(spark: SparkSession, root, load_id):
-    names = version_names(spark, root)
-    last = int(names[-1].split("-")[0]) if names else 0
-    return f"{last + 1:08d}-{load_id}"
+    numbers = _markers(spark, root)
+    return f"{int(numbers[-1]) + 1 if numbers else 1:08d}-{load_id}"
+
+
+def read_paths(spark: SparkSession, paths, schema) -> DataFrame:
+    """Rows of some folders of a versioned table; none without folders."""
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def read_version(spark: SparkSession, root, schema) -> DataFrame:
     """The current rows of a versioned table, empty if never written."""
-    path = current_version(spark, root)
-    if path is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    marker = current_marker(spark, root)
+    return read_paths(spark, marker_paths(root, marker) if marker else [], schema)
 
 
-def write_aside(df: DataFrame, root, version) -> str:
+def write_aside(df: DataFrame, root, version, partition_by=()) -> str:
     """Write the rows of a version; nobody reads them yet."""
     path = f"{root}/{version}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
-def switch_version(spark: SparkSession, root, version) -> None:
-    """Make a written version the current one."""
+def switch_version(spark: SparkSession, root, version, buckets=None, count=None) -> None:
+    """Make a written version the current one.
+
+    ``buckets`` names the version of each bucket that has rows, ``count`` the
+    number of buckets of the table.
+    """
     number = version.split("-")[0]
     fs, marker = hadoop_path(spark, f"{root}/_versions/{number}")
     try:
         stream = fs.create(marker, False)
     except Py4JJavaError as error:
         raise OSError(f"{root}: another writer published version {number}") from error
-    stream.writeUTF(version)
+    stream.write(bytearray(json.dumps({"version": version, "buckets": buckets, "count": count}).encode()))
     stream.close()
+
+
+def expire_versions(spark: SparkSession, root, keep=5) -> int:
+    """Delete what only versions before the last ``keep`` hold; folders deleted.
+
+    Run it when no reader of those versions is left; loads never call it.
+    """
+    numbers = _markers(spark, root)
+    old, kept = numbers[:-keep], numbers[-keep:]
+    held = {p for n in kept for p in marker_paths(root, _read_marker(spark, root, n))}
+    stale = {p for n in old for p in marker_paths(root, _read_marker(spark, root, n))} - held
+    # The markers go first: no version may name a folder that is gone.
+    for n in old:
+        remove(spark, f"{root}/_versions/{n}")
+    for p in stale:
+        remove(spark, p)
+    return len(stale)

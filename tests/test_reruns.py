@@ -82,7 +82,7 @@ def test_one_number_has_one_writer(spark, folder):
     P.switch_version(spark, folder, mine)
     with pytest.raises(OSError, match="another writer"):
         P.switch_version(spark, folder, other)
-    assert P.current_version(spark, folder).endswith(mine)
+    assert P.current_marker(spark, folder)["version"] == mine
 
 
 def test_csv_rows_are_not_cut(spark, tmp_path):
