@@ -28,7 +28,8 @@ class Rule(NamedTuple):
 
     @property
     def glob(self):
-        return f"**.{self.host}{self.path}**"
+        # A single star: the rule's host must not be found within a path.
+        return f"*.{self.host}{self.path}**"
 
 
 #: Rules by host and path; the longest that fits decides.

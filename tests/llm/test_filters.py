@@ -35,7 +35,7 @@ def test_globs():
 
 def test_url_rules(spark, docs):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.NET/en/x?y#z", "http://net", "http://x.net/", "http://xnet/", "http://a.org/fr/1", "http://org/fr",
-            "https://casino-win.example.com/de/1", "https://casino-win.example.com/en/1", "http://h/" + "a" * 5_000 + ".exe", "x://é.net?q/en/", "x://a.com#/login/"]
+            "https://casino-win.example.com/de/1", "https://casino-win.example.com/en/1", "http://h/" + "a" * 5_000 + ".exe", "x://é.net?q/en/", "x://a.com#/login/", "x://a.com/b.net/en/", "x://c.net/a.org/fr/"]
     pages = spark.createDataFrame([(k, u, "clash") for k, u in enumerate(urls)] * 2, "page_id long, url string, host string")
     got = {r.page_id: tuple(r)[1:] for r in url_filters.judge(pages).collect()}
     assert url_filters.judge(pages).count() == 2 * len(urls)
@@ -44,6 +44,7 @@ def test_url_rules(spark, docs):
     assert got[5] == ("net", "", None, "allow") and got[6] == ("x.net", "/", "net/", "block") and got[7][2] is None
     assert got[8][2:] == ("org/fr/", "allow") and got[9][2] is None
     assert got[10][2:] == ("example.com/de/", "block") and got[11][2:] == (None, "block") and got[12][2:] == (None, "block")
+    assert got[15][2:] == (None, "allow") and got[16][2:] == ("net/", "block")
     assert got[13][:2] == ("é.net", "") and got[14][:2] == ("a.com", "")
     assert url_filters.judge(pages.where("false")).collect() == []
     kept = url_filters.keep_allowed(pages)
