@@ -13,6 +13,7 @@ from sluice.model import (
     SOURCE_COLUMNS, STAGE_COLUMNS, TARGET_SCHEMA,
 )
 from sluice.operators import audit, dedupe, merge, quarantine, rules, schema
+from sluice.session import materialize
 
 SRC = duck(CLAIMS_SRC)
 TYPED = f"""
@@ -255,8 +256,8 @@ select cast(provider_id as decimal(28,2)) provider_id, claim_amount, cast(claim_
 
 
 def _judged(spark, sf_dir, integers):
-    typed = rules.type_claims(file_claims(spark, sf_dir), integers)
-    flagged = dedupe.flag_duplicates(typed, ["claim_id"])
+    typed = materialize(rules.type_claims(file_claims(spark, sf_dir), integers), "typed-claims")
+    flagged = dedupe.flag_duplicates_sized(typed, ["claim_id"])
     df = flagged.withColumn("reasons", rules.broken_names(rules.claim_rules(AS_OF, integers)))
     return df.select(
         F.col("provider_id").cast("decimal(28,2)").alias("provider_id"),
@@ -520,7 +521,7 @@ def _event(df, key, seq, **set_columns):
   reconciliation_status, case when source_rows_read - source_rows_quarantined <> staged_rows_loaded
     then 'counts differ' end error_message from totals""")
 def audit_latest(spark, sf_dir):
-    batches = _batches(spark, sf_dir)
+    batches = materialize(_batches(spark, sf_dir), "batches")
     loads = batches.groupBy("load_id").agg(*[F.sum(c).alias(c) for c in AUDIT_COUNTERS[:3]])
     judged = audit.reconcile(loads)
     ok = F.col("reconciliation_status") == "MATCH"

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sluice.catalog.registry import query
-from sluice.catalog.views import EARLY, NOTES_SRC, duck, notes_src, spread, table
+from sluice.catalog.views import EARLY, NOTES_SRC, duck, notes_src, table
 from sluice.functions.text import WHITE_RANGES, normalize_text
 from sluice.operators import documents as D
 from sluice.operators.merge import upsert
@@ -65,13 +65,14 @@ def doc_number(c="file_name"):
     return F.regexp_extract(c, "[0-9]+", 0).cast("bigint").alias("doc_id")
 
 
-def parsed_notes(spark, sf_dir):
-    return D.parse_documents(notes(spark, sf_dir), RUN, AT)
+def parsed_notes(spark, sf_dir, *columns):
+    wanted = {"columns": ["file_name", *columns]} if columns else {}
+    return D.parse_documents(notes(spark, sf_dir), RUN, AT, **wanted)
 
 
 @query(f"""select doc_id, {_normal('text')} normalized, length({_strip('text')}) >= 100 is_direct from documents""")
 def text_normalize(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", normalize_text("text").alias("normalized"),
         (D.method_label("text") == "direct_pdf_text").alias("is_direct"))
 
@@ -79,19 +80,19 @@ def text_normalize(spark, sf_dir):
 @query(f"""with docs as (select doc_id, {_normal('text')} full_text from documents)
 select doc_id, {_class('full_text', False)} document_type from docs""")
 def document_classify(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
     texts = compute_once(docs.select("doc_id", "text"), full_text=normalize_text("text"))
     return texts.select("doc_id", D.classify("full_text", parity=False).alias("document_type"))
 
 
 @query(f"with {_PARSED} select doc_id, document_type from scored")
 def note_classify(spark, sf_dir):
-    return parsed_notes(spark, sf_dir).select(doc_number(), "document_type")
+    return parsed_notes(spark, sf_dir, "document_type").select(doc_number(), "document_type")
 
 
 @query(f"with {_PARSED} select doc_id, {', '.join(D.FIELDS)}, substr(full_text, 1, 1000) raw_text_preview from scored")
 def note_fields(spark, sf_dir):
-    return parsed_notes(spark, sf_dir).select(doc_number(), *D.FIELDS, "raw_text_preview")
+    return parsed_notes(spark, sf_dir, *D.FIELDS, "raw_text_preview").select(doc_number(), *D.FIELDS, "raw_text_preview")
 
 
 def _labelled(name):
@@ -134,8 +135,9 @@ def doc_upsert(spark, sf_dir):
     early = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < EARLY).select(
         F.concat(F.lit("notes/"), F.col("o_orderkey").cast("string"), F.lit(".txt")).alias("file_path"))
     docs = notes(spark, sf_dir)
-    first = D.parse_documents(docs.join(early, "file_path", "left_semi"), "run-1", AT)
-    merged = upsert(first, D.parse_documents(docs, RUN, AT), "document_id", "always")
+    shown = ["document_id", "run_id"]
+    first = D.parse_documents(docs.join(early, "file_path", "left_semi"), "run-1", AT, columns=shown)
+    merged = upsert(first, D.parse_documents(docs, RUN, AT, columns=shown), "document_id", "always")
     return merged.select("document_id", "run_id", "action")
 
 

@@ -140,32 +140,38 @@ def split_readable(documents: DataFrame, text="text"):
 
 
 def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
-                    fallback_text=None, document_id=None, keep_text=False) -> DataFrame:
-    """The 19-column record of each document with text.
+                    fallback_text=None, document_id=None, keep_text=False, columns=DOCUMENT_COLUMNS) -> DataFrame:
+    """The 19-column record of each document with text, or the ``columns`` of it.
 
     The same path has the same ``document_id`` in every run, so a second run
-    updates its records.
+    updates its records.  Patterns run for the wanted columns only; the score
+    needs all of them.
     """
+    scored = bool({"confidence_score", "needs_review"} & set(columns))
+    fields = [n for n in FIELDS if scored or n in columns]
+    classed = scored or "document_type" in columns
     raw = chosen_text("text", fallback_text)
     base = documents.filter(F.col("text").isNotNull()).select(
         "file_path", "file_name",
         (document_id if document_id is not None else document_key("file_path")).alias("document_id"),
         method_label("text", fallback_text).alias("extraction_method"), raw.alias("_raw"),
     )
-    base = compute_once(base, full_text=normalize_text("_raw")).drop("_raw")
-    captures = {f"_{n}": capture("full_text", p) for n, p in FIELD_PATTERNS.items()}
-    base = base.withColumn("_lowered", F.lower("full_text"))
-    parsed = compute_once(base, document_type=classify_lowered(F.col("_lowered"), parity), **captures)
-    parsed = parsed.withColumns({n: captured(f"_{n}") for n in FIELDS})
-    scored = parsed.withColumn("confidence_score", confidence())
-    record = scored.withColumns({
-        "run_id": F.lit(run_id),
-        "processed_at": F.lit(str(processed_at)),
-        "needs_review": needs_review(),
-        "raw_text_preview": cut("full_text", PREVIEW_CHARS),
-    })
-    return record.select(
-        *DOCUMENT_COLUMNS, *(["full_text"] if keep_text else []))
+    if fields or classed or keep_text or "raw_text_preview" in columns:
+        base = compute_once(base, full_text=normalize_text("_raw"))
+    made = {f"_{n}": capture("full_text", FIELD_PATTERNS[n]) for n in fields}
+    if classed:
+        base = base.withColumn("_lowered", F.lower("full_text"))
+        made["document_type"] = classify_lowered(F.col("_lowered"), parity)
+    record = compute_once(base, **made) if made else base
+    record = record.withColumns({
+        **{n: captured(f"_{n}") for n in fields},
+        "run_id": F.lit(run_id), "processed_at": F.lit(str(processed_at))})
+    if scored:
+        record = record.withColumn("confidence_score", confidence())
+        record = record.withColumn("needs_review", needs_review())
+    if "raw_text_preview" in columns:
+        record = record.withColumn("raw_text_preview", cut("full_text", PREVIEW_CHARS))
+    return record.select(*columns, *(["full_text"] if keep_text else []))
 
 
 def parse_labelled(documents: DataFrame, text="text", fallback_text=None) -> DataFrame:

@@ -81,15 +81,35 @@ def load_claims_strict(spark: SparkSession, path, stage_path, archive_path, load
 
 def read_header(spark: SparkSession, paths, expected=CLAIM_COLUMNS_LINES):
     """Normalised header of the first file; raises on drift."""
-    names = normalize_names(next(csv.reader([first_line(spark, paths)])))
+    return header_names(first_line(spark, paths), expected)
+
+
+def header_names(line, expected=CLAIM_COLUMNS_LINES):
+    """Normalised names of a header line; raises on drift."""
+    names = normalize_names(next(csv.reader([line]), []))
     check_names(names, expected, "set")
     return names
 
 
+def by_file(header, value):
+    """``value(names)`` of the header of a row's file.
+
+    ``header``: the names all files share, or {names: files} where their
+    orders differ.
+    """
+    if not isinstance(header, dict):
+        return value(header)
+    (names, _), *others = header.items()
+    chosen = value(names)
+    for names, files in others:
+        chosen = F.when(F.col("file").isin(files), value(names)).otherwise(chosen)
+    return chosen
+
+
 def data_lines(lines: DataFrame, header) -> DataFrame:
     """Lines after each file's header; a file with another header ends the load."""
     found = F.transform(split_fields("raw_row"), lambda f: F.lower(strip(f)))
-    same = found == F.array(*[F.lit(h) for h in header])
+    same = found == by_file(header, lambda names: F.array(*[F.lit(h) for h in names]))
     other = F.raise_error(F.concat(F.lit("schema drift in "), F.col("file"))).cast("boolean")
     is_data = F.when(F.col("line_number") > 1, F.lit(True)).when(same, F.lit(False)).otherwise(other)
     return lines.filter(is_data)
@@ -101,14 +121,15 @@ def typed_lines(lines: DataFrame, header, integers="numeric", keep_truncated=Tru
     ``structural`` holds the reasons of a bad line, ``is_row`` tells whether
     the line gives a row; the text is kept only where it is reported.
     """
-    checked = check_lines(lines, len(header))
+    checked = check_lines(lines, len(CLAIM_COLUMNS_LINES))
     cut = F.when(F.col("truncated"), F.lit(REASONS[5]))
     checked = checked.withColumn("structural", F.array_compact(F.array("reason", cut)))
     is_row = F.col("reason").isNull()
     if not keep_truncated:
         is_row = is_row & ~F.col("truncated")
     columns = [
-        F.when(is_row, F.get("fields", F.lit(header.index(c)))).alias(c) for c in CLAIM_COLUMNS_LINES]
+        F.when(is_row, F.get("fields", by_file(header, lambda names, c=c: F.lit(names.index(c))))).alias(c)
+        for c in CLAIM_COLUMNS_LINES]
     rows = checked.select(
         "file", "line_number", "row_no", "structural", is_row.alias("is_row"),
         F.when(F.size("structural") > 0, F.col("raw_row")).alias("raw_row"), *columns)
@@ -124,14 +145,16 @@ def checked_claims(rows: DataFrame, as_of, integers="numeric", codes=FILE_PROCED
 
 def load_claims_lines(spark: SparkSession, paths, stage_path, archive_path, load_id, as_of, run_ts,
                       integers="numeric", codes=FILE_PROCEDURE_CODES, keep_truncated=True,
-                      count_rules=False) -> dict:
+                      count_rules=False, header=None) -> dict:
     """Raw claim lines to stage, business archive and structural archive.
 
     The text is read twice (once to number lines), typed rows are written once
     to the shared folder, and everything after reads columns of that table.
     ``integers="strict"`` wants digits only in the four integer columns.
+    ``header`` tells the names of the files where they are known (``by_file``);
+    else the first file's are those of all.
     """
-    header = read_header(spark, paths)
+    header = header or read_header(spark, paths)
     lines = data_lines(read_lines(spark, paths), header)
     table = materialize(typed_lines(lines, header, integers, keep_truncated), "claim-lines", ["is_row"])
     rows = table.filter("is_row")
@@ -160,7 +183,7 @@ def load_claims_lines(spark: SparkSession, paths, stage_path, archive_path, load
         "structurally_clean": counts["structurally_clean"],
         "structurally_bad": counts["structurally_bad"] or 0,
         "business_bad": tally["bad"], "rows_loaded": tally["clean"],
-        "reordered": out_of_order(header, CLAIM_COLUMNS_LINES),
+        "reordered": any(out_of_order(h, CLAIM_COLUMNS_LINES) for h in (header if isinstance(header, dict) else [header])),
     }
     if count_rules:
         # One row per rule.

@@ -43,9 +43,14 @@ def run_folder(spark: SparkSession, folder, output, run_id, processed_at, patter
         spark, read_documents(spark, folder, pattern), output, run_id, processed_at, **options)
 
 
-def run_labelled(documents: DataFrame, output) -> None:
-    """The ten-field variant, one JSON record per document."""
-    parsed = parse_labelled(documents.filter(F.col("text").isNotNull()))
+def run_labelled(documents: DataFrame, output, failures=None, quarantined_at=None) -> None:
+    """The ten-field variant, one JSON record per document with text.
+
+    The others go to ``failures``, by default the folder ``<output>_failures``.
+    """
+    readable, failed = split_readable(documents)
+    write_json(failure_queue(failed, quarantined_at), failures or f"{output}_failures", mode="overwrite")
+    parsed = parse_labelled(readable)
     fields = [c for c in parsed.columns if c not in ("file_name", "extraction_method", "full_text")]
     record = parsed.select(
         "file_name", "extraction_method", F.struct(*fields).alias("parsed_fields"), "full_text")

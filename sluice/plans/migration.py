@@ -37,7 +37,7 @@ class Tables:
     root: str
 
     def __getattr__(self, name):
-        if name in ("stage", "target", "rejects", "quarantine", "quarantine_files", "audit"):
+        if name in ("stage", "target", "rejects", "quarantine", "quarantine_files", "file_rejects", "audit"):
             return f"{self.root}/{name}"
         raise AttributeError(name)
 

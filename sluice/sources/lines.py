@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sluice.session import truncate_lineage
 
-# One row per split of at most 128 MB by default; about 150 bytes each.
-BROADCAST_SPLITS = 200_000
+# One row per split of at most 128 MB by default, of some 200 bytes: room for
+# several million splits.
+BROADCAST_BYTES = 1 << 30
+_FIXED_BYTES = 72
 _SPLIT = ["file", "split_start", "split_length", "split_no"]
 
 
@@ -74,7 +76,8 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
     _pin_splits(spark)
     raw = _raw_splits(spark, paths)
     splits = truncate_lineage(split_table(raw))
-    if splits.count() <= BROADCAST_SPLITS:
+    size = splits.agg(F.sum(F.octet_length("file") + _FIXED_BYTES)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         splits = F.broadcast(splits)
     joined = raw.join(splits, _SPLIT, "left")
     number = F.col("rows_before") + F.col("position") - F.col("first_position") + 1
@@ -89,10 +92,16 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def file_start(spark: SparkSession, path):
+    """(file, first line) of one file, None for an empty one."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), "value").first()
+
+
 def first_line(spark: SparkSession, paths) -> str:
     """The first line of the first file that has one; raises on empty input."""
     for name in sorted(spark.read.text(paths).inputFiles()):
-        row = spark.read.option("lineSep", "\n").text(name).first()
+        row = file_start(spark, name)
         if row is not None:
-            return row[0]
+            return row["value"]
     raise ValueError("input is empty")

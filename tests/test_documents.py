@@ -104,6 +104,16 @@ def test_folder_scan(spark, tmp_path, folder):
     assert (out["succeeded"], out["failed"]) == (1, 1)
     run_labelled(read_documents(spark, str(tmp_path)), f"{folder}/labelled")
     assert spark.read.json(f"{folder}/labelled").first()["parsed_fields"]["mrn"] == "A-17"
+    assert spark.read.json(f"{folder}/labelled_failures").first()["file_name"] == "b.txt"
+
+
+def test_only_wanted_columns_are_parsed(spark):
+    def plan(*columns):
+        return D.parse_documents(docs(spark, NOTE), "r", "n", columns=columns)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "Medical Record Number" not in plan("document_type") and "discharge summary" in plan("document_type")
+    assert "Medical Record Number" in plan("mrn") and "discharge summary" not in plan("mrn")
+    assert "inline" not in plan("document_id", "run_id") and "Medical Record Number" in plan("needs_review")
 
 
 def test_filters_do_not_repeat_the_patterns(spark):

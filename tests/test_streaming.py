@@ -5,7 +5,7 @@ from sluice.model import AUDIT_EVENT_SCHEMA, STAGE_SCHEMA
 from sluice.operators.audit import latest_state
 from sluice.plans.migration import Tables
 from sluice.sinks.tables import read_load_table, write_load
-from sluice.streaming.claims import claims_batch, run_claims_intake
+from sluice.streaming.claims import claims_batch, judge_files, run_claims_intake
 from sluice.streaming.split_files import archive_processed, run_intake
 
 HEADER = "provider_id,claim_amount,claim_id,service_date,patient_id,procedure_code,diagnosis_code\n"
@@ -81,11 +81,38 @@ def test_claims_intake_by_batches(spark, folder):
     claims_batch(tables, "S", "2025-12-31", "2026-01-01 00:00:00")(batch, 0)
     after = latest_state(spark.read.schema(AUDIT_EVENT_SCHEMA).parquet(tables.audit)).collect()
     assert {r["load_id"]: r["staged_rows_loaded"] for r in after} == before
-    assert read_load_table(spark, tables.stage, STAGE_SCHEMA).count() in (9, 9)
+    assert read_load_table(spark, tables.stage, STAGE_SCHEMA).count() == 9
     put(f"{root}/f3.csv", HEADER + "10,5,900,2025-01-01,7,99213,E11\n")
     assert run() == 10
 
 
+def test_a_bad_file_does_not_stop_the_stream(spark, folder):
+    root, tables = f"{folder}/in", Tables(f"{folder}/t")
+    put(f"{root}/a.csv", HEADER + "10,5,1,2025-01-01,7,99213,E11\n")
+    put(f"{root}/b.csv", "claim_id,Provider_ID,claim_amount,service_date,patient_id,procedure_code,diagnosis_code\n"
+                         "2,10,5,2025-01-01,7,99213,E11\n2x,10,5\n")
+    put(f"{root}/c.csv", "claim_id,other\n3,4\n")
+    put(f"{root}/d.csv", "\n")
+
+    def run():
+        run_claims_intake(spark, root, tables, f"{folder}/cp", "S", "2025-12-31", "2026-01-01 00:00:00")
+        stage = read_load_table(spark, tables.stage, STAGE_SCHEMA)
+        return sorted((r.claim_id, r.provider_id, r.stg_claim_row_id) for r in stage.collect())
+
+    assert [r[:2] for r in run()] == [("1", "10"), ("2", "10")] and len({r[2] for r in run()}) == 2
+    refused = {os.path.basename(r.file): r.reason for r in spark.read.parquet(tables.file_rejects).collect()}
+    assert set(refused) == {"c.csv", "d.csv"} and all("missing" in reason for reason in refused.values())
+    put(f"{folder}/none.csv", "")  # the stream itself passes over a file without bytes
+    assert judge_files(spark, [f"{folder}/none.csv"]) == ({}, {f"{folder}/none.csv": "input is empty"})
+    # A batch of nothing else is audited and passed.
+    put(f"{root}/e.csv", "nothing\n")
+    run()
+    states = {r.load_id: r.status for r in latest_state(spark.read.schema(AUDIT_EVENT_SCHEMA).parquet(tables.audit)).collect()}
+    assert states["S-000001"] == "FAILED"
+    put(f"{root}/f.csv", HEADER + "10,5,9,2025-01-01,7,99213,E11\n")
+    assert len(run()) == 3
+
+
 def test_empty_batch_is_no_load(spark, folder):
     tables = Tables(f"{folder}/x")
     claims_batch(tables, "S", "2025-12-31", "2026-01-01 00:00:00")(spark.createDataFrame([], "path string"), 0)
