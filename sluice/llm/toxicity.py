@@ -166,7 +166,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit=MAX_LABELLED) -> Dat
     own = own.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     total = own.count()
     if total > limit:
-        own = own.where(F.expr(f"pmod(xxhash64(doc_id), 1000000) < {int(1_000_000 * limit / total)}"))
+        own = own.where(F.expr(f"pmod(xxhash64(doc_id), {1 << 40}) < {(limit << 40) // total}"))
     # About ``limit`` small rows, whatever the corpus.
     return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "toxic")
 
