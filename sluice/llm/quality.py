@@ -109,7 +109,7 @@ def language_key(column):
 
 
 def _totals(batches):
-    """Per language class counts (word '', with the class) and word counts of what a task has read."""
+    """Per language class counts (word '', with the class), word counts and the count of long words (kind -2) of what a task has read."""
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1)
         data, offsets = flat(texts)
@@ -125,8 +125,9 @@ def _totals(batches):
                 picked = np.concatenate([codes[first[r]:first[r + 1]] for r in rows.tolist()])
                 count = np.bincount(picked, minlength=len(words))
                 for c in np.flatnonzero(count).tolist():
-                    if len(words[c]) <= COMMON_WORD_BYTES:
-                        sums[lang, words[c], -1] = sums.get((lang, words[c], -1), 0) + int(count[c])
+                    # Words too long to be common only count in sum.
+                    key = (lang, words[c], -1) if len(words[c]) <= COMMON_WORD_BYTES else (lang, b"", -2)
+                    sums[key] = sums.get(key, 0) + int(count[c])
         keys = list(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()),
@@ -147,7 +148,8 @@ def references(docs: DataFrame, text_col="text", lang_col="lang", common=COMMON_
     """(lang, word, kind, n) over all documents: class counts (kind 0-7) and the commonest words (kind -1).
 
     Counts are summed per task before the shuffle.  Kind -2 holds the words of
-    a language that are not among its ``common`` commonest; ties go by bytes.
+    a language that are not among its ``common`` commonest, long words included;
+    ties go by bytes.
     """
     parts = docs.select(language_key(F.col(lang_col)).alias("lang"), F.col(text_col)).mapInArrow(_totals, "lang string, word binary, kind int, n long")
     # Read three times below, so written once.
@@ -155,8 +157,8 @@ def references(docs: DataFrame, text_col="text", lang_col="lang", common=COMMON_
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     words = summed.where("kind = -1")
     top = words.withColumn("rank", rank).where(F.col("rank") <= common).drop("rank")
-    # Of the rest only the sum is needed: all words less the common ones.
-    rest = words.groupBy("lang").agg(F.sum("n").alias("n")).union(top.select("lang", -F.col("n")))
+    # Of the rest only the sum is needed: all words, long ones too, less the common ones.
+    rest = summed.where("kind < 0").groupBy("lang").agg(F.sum("n").alias("n")).union(top.select("lang", -F.col("n")))
     rest = rest.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit(b"").alias("word"), F.lit(-2).alias("kind"), "n")
     return summed.where("kind >= 0").union(top).union(rest)
 

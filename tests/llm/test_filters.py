@@ -189,6 +189,21 @@ def test_quality_tells_junk(spark, docs):
     assert counts.get((0, False), 0) > counts.get((0, True), 0)
 
 
+def test_quality_long_words(spark, docs):
+    """Words over COMMON_WORD_BYTES are in the reference as they are in the texts: documents all alike stay."""
+    rng = random.Random(5)
+    short, tall = [f"w{k}" for k in range(60)], ["字" * 11 + chr(0x4E00 + k) for k in range(3_000)]
+    texts = [" ".join(rng.choice(tall) if rng.random() < 0.8 else rng.choice(short) for _ in range(200)) for _ in range(300)]
+    given = spark.createDataFrame([(k, t, "zh") for k, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    counts = Counter(" ".join(texts).split())
+    found = quality.references(given).where("kind < 0").collect()
+    assert {bytes(r.word).decode(): r.n for r in found if r.kind == -1} == {w: n for w, n in counts.items() if w in short}
+    assert [r.n for r in found if r.kind == -2] == [sum(n for w, n in counts.items() if w not in short)]
+    got = quality.judge(given).agg({"word_distance": "max", "kept": "count"}).collect()[0]
+    assert got["max(word_distance)"] < 0.35 and got["count(kept)"] == 300
+    assert quality.judge(given).where("not kept and not base_failed").count() == 0
+
+
 def test_distance():
     p = np.array([[1.0, 0, 0], [1, 1, 2], [0, 0, 0]])
     got = quality.distance(p, np.array([0.0, 1, 1]))
