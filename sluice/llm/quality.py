@@ -3,8 +3,8 @@
 Every text gives two histograms: its characters by class, and its words among
 the common words of its language (with one bin for all others).  The reference
 of a language is the sum over all its documents.  A text is rejected if the
-Jensen-Shannon distance of a histogram from its reference is too large, unless
-the text is too short for the histogram to mean anything.
+Jensen-Shannon distance of a histogram from its reference is too large; short
+texts are allowed the more that few words lie apart by chance.
 """
 
 from functools import cache
@@ -21,9 +21,10 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 COMMON_WORDS = 200
 COMMON_WORD_BYTES = 32
-#: Distances (base 2, 0 to 1) beyond which a text is rejected, and the least words for each test.
-CLASS_DISTANCE, CLASS_MIN_WORDS = 0.24, 100
-WORD_DISTANCE, WORD_MIN_WORDS = 0.57, 100
+#: Distances (base 2, 0 to 1) beyond which a text is rejected.
+CLASS_DISTANCE, WORD_DISTANCE = 0.24, 0.57
+#: Below so many words the squared limits grow by CHANCE / words: the squared distance of a sample grows so.
+FULL_WORDS, CHANCE = 100, 5.0
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "stop", "symbol", "other_mark", "wide")
 
@@ -188,6 +189,12 @@ def distance(p, q) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.maximum((ratio(p) + ratio(q)) / 2, 0)), 0.0)
 
 
+def limit(full, n_words) -> np.ndarray:
+    """The distance allowed to texts of so many words: ``full`` from FULL_WORDS on."""
+    more = CHANCE / np.clip(n_words, 1, FULL_WORDS) - CHANCE / FULL_WORDS
+    return np.where(more > 0, np.sqrt(full ** 2 + more), full)
+
+
 def _judge(shared, columns, limits):
     def run(batches):
         refs = {lang: _Reference(rows) for lang, rows in shared.value.items()}
@@ -213,8 +220,8 @@ def _judge(shared, columns, limits):
             made = {n: np.concatenate([p[n] for p in parts] or [empty[n]]) for n in names}
             failed = (made["n_words"] < MIN_WORDS) | (100 * made["n_repeat_words"] > REPEAT_PERCENT * made["n_words"])
             class_limit, word_limit = limits
-            far = (made["class_distance"] > class_limit) & (made["n_words"] >= CLASS_MIN_WORDS)
-            far |= (made["word_distance"] > word_limit) & (made["n_words"] >= WORD_MIN_WORDS)
+            far = made["class_distance"] > limit(class_limit, made["n_words"])
+            far |= made["word_distance"] > limit(word_limit, made["n_words"])
             arrays = [batch.column(k) for k in range(len(columns))] + [pa.array(made[n]) for n in names] + [pa.array(failed), pa.array(~failed & ~far)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *names, "base_failed", "kept"])
 

@@ -204,6 +204,21 @@ def test_quality_long_words(spark, docs):
     assert quality.judge(given).where("not kept and not base_failed").count() == 0
 
 
+def test_quality_tells_short_junk(spark, docs):
+    """Documents of 50 to 99 words are judged too, against references of their whole table."""
+    path = "/root/testdata/sf0.1"
+    given = spark.read.parquet(f"{path}/documents.parquet")
+    judged = quality.judge(given).where("not base_failed and n_words < 100").join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id")
+    counts = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert counts.get((1, False), 0) <= 0.01 * counts[1, True]
+    assert counts.get((0, False), 0) > 9 * counts.get((0, True), 0)
+
+
+def test_quality_limit():
+    got = quality.limit(0.24, np.array([0, 50, 99, 100, 101, 10_000]))
+    assert (got[3:] == 0.24).all() and 0.24 < got[2] < got[1] < got[0] and math.isclose(got[1], math.sqrt(0.24**2 + 0.05))
+
+
 def test_distance():
     p = np.array([[1.0, 0, 0], [1, 1, 2], [0, 0, 0]])
     got = quality.distance(p, np.array([0.0, 1, 1]))
