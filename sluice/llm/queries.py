@@ -1,7 +1,7 @@
 """One query per operator, with production parameters, over its whole tables."""
 
 from sluice.llm import (
-    bpe, chat, decontaminate, quality, secrets, simhash, suffix_dedup, token_index, toxicity, url_filters,
+    bpe, chat, decontaminate, quality, secrets, simhash, subword_quality, suffix_dedup, token_index, toxicity, url_filters,
 )
 from sluice.llm.registry import query, read
 
@@ -93,3 +93,8 @@ def op9_simhash(spark, sf_dir):
 @query()
 def op10_token_index(spark, sf_dir):
     return token_index.report(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_quality_classifier(spark, sf_dir):
+    return subword_quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
