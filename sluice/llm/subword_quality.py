@@ -35,6 +35,8 @@ BUCKETS, DIM = 1 << 18, 16
 MIN_N, MAX_N = 3, 5
 EPOCHS, LEARNING_RATE = 5, 1.0
 THRESHOLD = 0.5
+#: Training rows of one SGD task, about; the tasks' changes are averaged.
+ROWS_PER_TASK = 20_000
 #: SGD steps of a partition in an epoch, at least: a smaller partition's rows are passed over again.
 MIN_STEPS = 3000
 #: Labels whose rows may be broadcast to the documents: at most this many, 16 bytes each.
@@ -209,7 +211,8 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     many = own.count()
     side = F.broadcast(own) if many <= BROADCAST_LABELS else own
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(side, "doc_id").select("text", "label")
-    return rows if many <= BROADCAST_LABELS else materialize(rows, "quality-rows")
+    # Written once in parts of about ROWS_PER_TASK rows: every epoch reads them, and each part is one SGD task.
+    return materialize(rows.repartition(max(1, -(-many // ROWS_PER_TASK))), "quality-rows")
 
 
 def fit(docs: DataFrame, labels: DataFrame, epochs=EPOCHS, rate=LEARNING_RATE) -> Model:
@@ -276,9 +279,9 @@ def fit(docs: DataFrame, labels: DataFrame, epochs=EPOCHS, rate=LEARNING_RATE) -
             # Weighted by the partition's rows: summed and divided by all rows, the changes average.
             change *= n
             keys = np.concatenate([keys, [-1, -2, -3]])
-            yield pa.RecordBatch.from_arrays([pa.array(keys)] + [pa.array(change[:, k]) for k in range(DIM)], names=["bucket", *names])
+            yield pa.RecordBatch.from_arrays([pa.array(keys)] + [pa.array(change[:, k].astype(np.float32)) for k in range(DIM)], names=["bucket", *names])
 
-        schema = "bucket long, " + ", ".join(f"{c} double" for c in names)
+        schema = "bucket long, " + ", ".join(f"{c} float" for c in names)
         # At most BUCKETS + 3 rows of DIM numbers, whatever the input.
         got = rows.mapInArrow(train, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
         shared.unpersist()
