@@ -1,7 +1,7 @@
 """One query per operator, with production parameters, over its whole tables."""
 
 from sluice.llm import (
-    bpe, chat, decontaminate, quality, secrets, simhash, subword_quality, suffix_dedup, token_index, toxicity, url_filters,
+    bpe, chat, decontaminate, merkle, quality, secrets, simhash, subword_quality, suffix_dedup, token_index, toxicity, url_filters,
 )
 from sluice.llm.registry import query, read
 
@@ -98,3 +98,8 @@ def op10_token_index(spark, sf_dir):
 @query()
 def op11_quality_classifier(spark, sf_dir):
     return subword_quality.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query()
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(read(spark, sf_dir, "documents"))
