@@ -1,7 +1,7 @@
 """One query per operator, with production parameters, over its whole tables."""
 
 from sluice.llm import (
-    bpe, chat, decontaminate, merkle, quality, secrets, simhash, subword_quality, suffix_dedup, token_index, toxicity, url_filters,
+    bpe, chat, decontaminate, merkle, prefix_trie, quality, secrets, simhash, subword_quality, suffix_dedup, token_index, toxicity, url_filters,
 )
 from sluice.llm.registry import query, read
 
@@ -103,3 +103,8 @@ def op11_quality_classifier(spark, sf_dir):
 @query()
 def op13_merkle_manifest(spark, sf_dir):
     return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
