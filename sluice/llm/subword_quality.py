@@ -122,15 +122,13 @@ def _tokens(data, offsets):
 
 
 def _word_sums(embedding, words):
-    """Per distinct word, the sum of its features' rows and their number."""
+    """Per distinct word, the sum of its features' rows and their number; one dimension at a time, to hold little."""
     fw, fb = word_features(words)
     n = len(words)
-    count = np.bincount(fw, minlength=n)
     sums = np.zeros((n, embedding.shape[1]), np.float64)
-    if len(fw):
-        starts = np.concatenate([[0], np.cumsum(count)[:-1]])
-        sums[count > 0] = np.add.reduceat(embedding[fb].astype(np.float64), starts[count > 0], axis=0)
-    return sums, count
+    for k in range(embedding.shape[1]):
+        sums[:, k] = np.bincount(fw, embedding[fb, k], minlength=n)
+    return sums, np.bincount(fw, minlength=n)
 
 
 def doc_vectors(model: Model, data, offsets) -> np.ndarray:
@@ -141,12 +139,11 @@ def doc_vectors(model: Model, data, offsets) -> np.ndarray:
     if not len(codes):
         return out
     sums, count = _word_sums(model.embedding, words)
-    tokens = np.diff(first)
-    has = tokens > 0
-    total = np.add.reduceat(sums[codes], first[:-1][has], axis=0)
-    n = np.add.reduceat(count[codes], first[:-1][has])
-    out[has] = total / np.maximum(n, 1)[:, None]
-    return out
+    row_of = np.repeat(np.arange(rows), np.diff(first))
+    n = np.bincount(row_of, count[codes], minlength=rows)
+    for k in range(out.shape[1]):
+        out[:, k] = np.bincount(row_of, sums[codes, k], minlength=rows)
+    return out / np.maximum(n, 1)[:, None]
 
 
 def probabilities(model: Model, vectors) -> np.ndarray:
