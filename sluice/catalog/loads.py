@@ -9,7 +9,7 @@ from sluice.catalog.claims import (
 from sluice.catalog.lines import write_claims_csv
 from sluice.catalog.registry import query
 from sluice.catalog.views import AS_OF, CLAIMS_SRC, EARLY, claims_src, duck, table
-from sluice.model import CLAIM_COLUMNS_LINES, REJECTS_SCHEMA, STAGE_SCHEMA, TARGET_SCHEMA
+from sluice.model import AUDIT_EVENT_SCHEMA, CLAIM_COLUMNS_LINES, REJECTS_SCHEMA, STAGE_SCHEMA, TARGET_SCHEMA
 from sluice.operators.audit import rejects_per_load
 from sluice.operators.dedupe import surrogate_id
 from sluice.plans.claims import load_claims_lines, load_claims_strict
@@ -174,7 +174,7 @@ def _source_winners(name, where):
   from hashed where {_SOURCE_REASON} is null and {where}) where rn = 1)"""
 
 
-def _migrate(spark, sf_dir, loads=(("load-1", EARLY, "2000-01-01 00:00:00"), ("load-2", None, RUN_TS))):
+def _migrate(spark, sf_dir, loads=(("load-1", EARLY, "2000-01-01 00:00:00"), ("load-2", None, RUN_TS)), chunk_size=None):
     """An earlier extract, then all rows; returns the tables."""
     tables = Tables(fresh_folder(spark, "migration"))
     claims = claims_src(spark, sf_dir)
@@ -182,7 +182,7 @@ def _migrate(spark, sf_dir, loads=(("load-1", EARLY, "2000-01-01 00:00:00"), ("l
         rows = claims.filter(F.col("ingested_at") < before) if before else claims
         path = f"{tables.root}/source-{load_id}"
         rows.drop("ingested_at").write.parquet(path)
-        result = process_claims(spark, read_table(spark, path), tables, load_id, AS_OF, run_ts)
+        result = process_claims(spark, read_table(spark, path), tables, load_id, AS_OF, run_ts, chunk_size=chunk_size)
         if result["status"] != "SUCCESS":
             raise RuntimeError(result["error"])
     return tables
@@ -226,6 +226,37 @@ def migration_quarantine(spark, sf_dir):
         "claim_id", "amount", "service_date", "rejection_reason")
 
 
+#: Rows of an extract chunk in the chunked queries: three chunks or more at the smallest scale.
+MIGRATION_CHUNK = 2000
+_CHUNKED = f"""{TYPED}, ordered as (select *, {_SOURCE_REASON} reason,
+    (row_number() over (order by {_SOURCE_ORDER}) - 1) // {MIGRATION_CHUNK} + 1 chunk from hashed),
+judged as (select *, row_number() over (partition by chunk, claim_id, reason is null order by {_SOURCE_ORDER}) rn from ordered)"""
+
+
+@query(f"""with {_CHUNKED}
+select chunk, count(*) source_rows_read, count(*) filter (where reason is not null or rn > 1) source_rows_quarantined,
+  count(*) filter (where reason is null and rn = 1) staged_rows_loaded
+from judged group by chunk""")
+def migration_chunks(spark, sf_dir):
+    """The progress event of every chunk of a chunked load: its own counts."""
+    tables = _migrate(spark, sf_dir, (("load-1", None, RUN_TS),), chunk_size=MIGRATION_CHUNK)
+    events = spark.read.schema(AUDIT_EVENT_SCHEMA).parquet(tables.audit).where(F.col("event_key").startswith("batch-"))
+    return events.select(
+        F.substring("event_key", 7, 20).cast("long").alias("chunk"), "source_rows_read", "source_rows_quarantined", "staged_rows_loaded")
+
+
+@query(f"""with {_CHUNKED}
+select 'load-1_chunk_' || lpad(cast(chunk as varchar), 5, '0') || '_bad_rows' chunk_file, count(*) bad_rows,
+  count(*) filter (where reason is null) duplicates
+from judged where reason is not null or rn > 1 group by chunk""")
+def migration_chunk_files(spark, sf_dir):
+    """The quarantine file of every chunk of a chunked load, read back: its rows and duplicates."""
+    tables = _migrate(spark, sf_dir, (("load-1", None, RUN_TS),), chunk_size=MIGRATION_CHUNK)
+    files = spark.read.option("header", True).option("escape", '"').csv(f"{tables.quarantine_files}/load-1_bad_rows")
+    return files.groupBy("chunk_file").agg(
+        F.count(F.lit(1)).alias("bad_rows"), F.count_if(F.col("rejection_reason").startswith("duplicate")).alias("duplicates"))
+
+
 def _merge_staged(spark, sf_dir, **options):
     """Stage all rows, good or not, and merge them twice."""
     tables = Tables(fresh_folder(spark, "merge"))

@@ -15,19 +15,19 @@ from sluice.session import materialize
 BROADCAST_COUNTS = 1_000_000
 
 
-def with_ordinal(df: DataFrame, order, groups=(), name="ordinal", partitions=None, label="ordinal") -> DataFrame:
+def with_ordinal(df: DataFrame, order, groups=(), name="ordinal", partitions=None, label="ordinal", nulls_last=False) -> DataFrame:
     """``df`` with ``name``: the 0-based place of a row within its group by ``order``, and ``<name>_of``: the group's rows.
 
     ``order`` and ``groups`` are column names; ``order`` should make rows
     unique where their order matters, since equal rows take their places
-    in an arbitrary but fixed order.  Nulls sort first; null groups are a
-    group of their own.  The numbered rows are written once, so that a
+    in an arbitrary but fixed order.  Nulls of ``order`` sort first, or last
+    with ``nulls_last``; null groups are a group of their own.  The numbered rows are written once, so that a
     re-run of a lost task finds the same numbers.
     """
     order, groups = list(order), list(groups)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_first() for c in groups + order]
+    keys = [F.col(c).asc_nulls_first() for c in groups] + [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first() for c in order]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     # After the sort, the increasing id counts the rows of a range in order.
     tagged = materialize(ranged.withColumn("_ord_range", F.spark_partition_id()).withColumn("_ord_row", F.monotonically_increasing_id()), label)

@@ -5,10 +5,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.model import (
-    AUDIT_EVENT_SCHEMA, REJECTS_SCHEMA, SOURCE_COLUMNS, STAGE_SCHEMA, TARGET_SCHEMA,
+    AUDIT_COUNTERS, AUDIT_EVENT_SCHEMA, REJECTS_SCHEMA, SOURCE_COLUMNS, STAGE_SCHEMA, TARGET_SCHEMA,
 )
 from sluice.operators import audit
 from sluice.operators.dedupe import mark_first, surrogate_id
+from sluice.operators.ordinal import with_ordinal
 from sluice.operators.merge import (
     DUPLICATE_REASON, MERGE_ORDER, add_hash, changed_rows, insert_ignore, invalid_rejects, ranked,
     replace_rows,
@@ -58,7 +59,8 @@ def source_split(rows: DataFrame, key="claim_id", order=SOURCE_ORDER, row_id="so
     Among the rows that passed, the first of a key is staged and the others
     are quarantined as duplicates.
     """
-    good = mark_first(rows.filter(F.col("rejection_reason").isNull()), [key], list(order), row_id)
+    keys = [key] if isinstance(key, str) else list(key)
+    good = mark_first(rows.filter(F.col("rejection_reason").isNull()), keys, list(order), row_id)
     kept = good.filter("is_first").drop("is_first", "rejection_reason")
     repeated = good.filter(~F.col("is_first")).drop("is_first").withColumn(
         "rejection_reason", F.lit(SOURCE_DUPLICATE))
@@ -145,9 +147,42 @@ def upsert_version(spark, root, source, load_id, policy, run_ts, key="claim_id",
     return sum(touched.values())
 
 
+def chunked_rows(checked: DataFrame, chunk_size: int) -> DataFrame:
+    """Checked source rows with ``source_row``, their place in the extract's order (claim_id and all columns, nulls last), and ``chunk``, from 1.
+
+    The places come from ranges of the order and running sums of their
+    counts, so no task holds the whole extract, and they do not change with
+    the layout of the source files.
+    """
+    numbered = with_ordinal(checked, SOURCE_COLUMNS, name="source_row", label="source-rows", nulls_last=True)
+    return numbered.drop("source_row_of").withColumn("chunk", (F.col("source_row") / F.lit(chunk_size)).cast("long") + 1)
+
+
+def chunk_events(per_chunk: DataFrame, load_id, at, attempt=0) -> DataFrame:
+    """A progress event per chunk, built where the counts are: (chunk, read, quarantined, staged)."""
+    prefix = f"{attempt}/" if attempt else ""
+    values = {
+        "load_id": F.lit(load_id), "event_seq": F.col("chunk") + 1 + attempt * audit.ATTEMPT,
+        "event_key": F.concat(F.lit(f"{prefix}batch-"), F.col("chunk").cast("string")), "process_name": F.lit(PROCESS_NAME),
+        "source_rows_read": F.col("read"), "source_rows_quarantined": F.col("quarantined"), "staged_rows_loaded": F.col("staged"),
+        "event_at": F.lit(at).cast("timestamp"),
+    }
+    return per_chunk.select(*[values.get(f.name, F.lit(0) if f.name in AUDIT_COUNTERS else F.lit(None)).cast(f.dataType).alias(f.name) for f in AUDIT_EVENT_SCHEMA])
+
+
 def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_id, as_of, run_ts,
-                   policy="null_safe", hash_mode="md5", enforce_codes=False) -> dict:
-    """Extract, quarantine, stage, merge, reconcile; always returns a result record."""
+                   policy="null_safe", hash_mode="md5", enforce_codes=False, chunk_size=None) -> dict:
+    """Extract, quarantine, stage, merge, reconcile; always returns a result record.
+
+    With ``chunk_size``, the extract in its order (claim_id, then every column)
+    is cut into chunks of that many rows, as a database extract read in
+    pieces would be: duplicates are found within a chunk, every chunk has its
+    quarantine file, its progress event with its own counts, and its check
+    that all its valid rows were staged.  A staged row is then named by its
+    place in the extract.
+    """
+    if chunk_size:
+        return _process_chunks(spark, source, tables, load_id, as_of, run_ts, policy, hash_mode, enforce_codes, chunk_size)
     at = run_ts
     counts = {"source_rows_read": 0, "source_rows_quarantined": 0, "staged_rows_loaded": 0}
     attempt = 0
@@ -200,6 +235,64 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
         return {"status": "FAILED", "load_id": load_id, "error": str(error), **counts, "quarantine_files": []}
 
 
+def _process_chunks(spark, source, tables, load_id, as_of, at, policy, hash_mode, enforce_codes, chunk_size) -> dict:
+    counts = {"source_rows_read": 0, "source_rows_quarantined": 0, "staged_rows_loaded": 0}
+    attempt = 0
+    if path_exists(spark, tables.audit):
+        attempt = audit.next_attempt(spark.read.schema(AUDIT_EVENT_SCHEMA).parquet(tables.audit), load_id)
+    write_audit(spark, tables, audit.started(load_id, PROCESS_NAME, at, attempt))
+    try:
+        rows = materialize(chunked_rows(source_checked(source, as_of), chunk_size), "source-chunks")
+        kept, bad = source_split(rows, ["claim_id", "chunk"])
+        split = materialize(
+            kept.withColumn("rejection_reason", F.lit(None).cast("string")).unionByName(bad)
+            .withColumn("is_kept", F.col("rejection_reason").isNull()),
+            "source-split", ["is_kept"])
+        # One row per chunk; summed in Spark, as chunks grow with the extract.
+        per_chunk = materialize(split.groupBy("chunk").agg(
+            F.count(F.lit(1)).alias("read"), F.count_if(~F.col("is_kept")).alias("quarantined"), F.count_if("is_kept").alias("valid")), "chunk-counts")
+        total = per_chunk.agg(F.sum("read").alias("read"), F.sum("quarantined").alias("quarantined"), F.sum("valid").alias("valid")).first()
+        good, quarantined = total["valid"] or 0, total["quarantined"] or 0
+        counts.update(source_rows_read=total["read"] or 0, source_rows_quarantined=quarantined)
+
+        bad = split.filter(~F.col("is_kept"))
+        chunk_file = F.concat(F.lit(f"{load_id}_chunk_"), F.format_string("%05d", F.col("chunk")), F.lit("_bad_rows"))
+        files = Output(
+            tables.quarantine_files, f"{load_id}_bad_rows", bad.select(*SOURCE_COLUMNS, "rejection_reason", chunk_file.alias("chunk_file")),
+            quarantined, "csv", partition_by=("chunk_file",))
+        rows_out = publish(spark, load_id, [
+            files,
+            stage_output(split.filter("is_kept"), tables.stage, load_id, at, good, "source_row"),
+            Output(tables.root, f"quarantine/load_id={load_id}", quarantine_rows(bad, load_id, at).drop("load_id"), quarantined),
+        ])
+        counts["staged_rows_loaded"] = rows_out[f"load_id={load_id}"]
+        # Each chunk's valid rows against what the stage holds of it, read back.
+        staged = read_load_table(spark, tables.stage, STAGE_SCHEMA, load_id).groupBy(
+            ((F.col("stg_claim_row_id") / F.lit(chunk_size)).cast("long") + 1).alias("chunk")).agg(F.count(F.lit(1)).alias("staged"))
+        checked = materialize(per_chunk.join(staged, "chunk", "left").fillna(0, ["staged"]), "chunk-check")
+        append_rows(chunk_events(checked, load_id, at, attempt), tables.audit)
+        wrong = checked.where("valid <> staged").orderBy("chunk").limit(1).collect()
+        if wrong:
+            audit.check_batch(wrong[0]["valid"], wrong[0]["staged"], f"chunk {wrong[0]['chunk']}")
+
+        merged = merge_load(spark, tables, load_id, as_of, at, policy, hash_mode, enforce_codes)
+        write_audit(spark, tables, audit.succeeded(
+            load_id, PROCESS_NAME, at, merged["rejected_total"], merged["upserted_rows"], attempt))
+        expected = counts["source_rows_read"] - counts["source_rows_quarantined"]
+        status = "MATCH" if expected == counts["staged_rows_loaded"] else "MISMATCH"
+        write_audit(spark, tables, audit.reconciled(load_id, PROCESS_NAME, at, status, attempt))
+        return {
+            "status": "SUCCESS", "load_id": load_id, **counts,
+            "target_rows_rejected": merged["rejected_rows"],
+            "target_rows_upserted": merged["upserted_rows"],
+            "expected_staged": expected, "actual_staged": counts["staged_rows_loaded"],
+            "reconciliation_status": status, "quarantine_files": [files.published],
+        }
+    except Exception as error:
+        write_audit(spark, tables, audit.failed(load_id, PROCESS_NAME, at, error, attempt))
+        return {"status": "FAILED", "load_id": load_id, "error": str(error), **counts, "quarantine_files": []}
+
+
 def merge_by_hash(spark: SparkSession, tables: Tables, load_id, as_of, run_ts) -> int:
     """The plain merge: md5 change detection, no rejects table; rows upserted.
 

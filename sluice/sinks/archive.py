@@ -21,13 +21,14 @@ def flat_text(df: DataFrame) -> DataFrame:
         F.array_join(c, "; ").alias(c) if kinds[c] == "array<string>" else F.col(c) for c in df.columns])
 
 
-def write_csv(df: DataFrame, path, order=(), hidden=(), mode="errorifexists") -> None:
+def write_csv(df: DataFrame, path, order=(), hidden=(), mode="errorifexists", partition_by=()) -> None:
     """CSV parts with a header, in ``order`` from part to part.
 
-    ``hidden`` columns order the rows but are not written.
+    ``hidden`` columns order the rows but are not written; ``partition_by``
+    columns name a folder per value.
     """
     out = flat_text((df.orderBy(*order) if order else df).drop(*hidden))
-    csv_writer(out).mode(mode).csv(path)
+    csv_writer(out).partitionBy(*partition_by).mode(mode).csv(path)
 
 
 def write_json(df: DataFrame, path, mode="errorifexists") -> None:

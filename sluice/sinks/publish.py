@@ -29,17 +29,18 @@ class Output:
     kind: str = "parquet"
     order: tuple = ()
     hidden: tuple = ()  # columns only used for the order
+    partition_by: tuple = ()  # a folder per value, e.g. per chunk
 
     def write(self, path):
         if self.kind == "csv":
-            write_csv(self.df, path, self.order, self.hidden, mode="overwrite")
+            write_csv(self.df, path, self.order, self.hidden, mode="overwrite", partition_by=self.partition_by)
         else:
             self.df.write.mode("overwrite").parquet(path)
 
     def count(self, path) -> int:
         spark = self.df.sparkSession
         if self.kind == "csv":
-            names = [c for c in self.df.columns if c not in self.hidden]
+            names = [c for c in self.df.columns if c not in self.hidden and c not in self.partition_by]
             text = T.StructType([T.StructField(c, T.StringType()) for c in names])
             reader = spark.read.schema(text).option("header", True).option("escape", '"').option("lineSep", "\n")
             return reader.csv(path).count()
