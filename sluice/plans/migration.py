@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from sluice.model import (
     AUDIT_COUNTERS, AUDIT_EVENT_SCHEMA, REJECTS_SCHEMA, SOURCE_COLUMNS, STAGE_SCHEMA, TARGET_SCHEMA,
@@ -18,7 +18,7 @@ from sluice.operators.quarantine import quarantine_rows
 from sluice.operators.rules import broken_names, joined_reasons, source_rules, type_source
 from sluice.operators.schema import check_schema
 from sluice.plans.claims import stage_output
-from sluice.session import materialize
+from sluice.session import materialize, materialize_counted, observed
 from sluice.sinks.publish import (
     BUCKET, Output, current_marker, next_version, publish, read_paths, read_version, switch_version,
     write_aside,
@@ -99,15 +99,18 @@ def merge_load(spark: SparkSession, tables: Tables, load_id, as_of, run_ts, poli
         refused = refused.select(*REJECTS_SCHEMA.names)
         keys = ["stg_claim_row_id", "rejection_reason"]
         # A reject that no longer holds, as its stage row was corrected, goes.
-        still = known.join(refused.select(*keys), keys, "left_semi").select(*REJECTS_SCHEMA.names)
-        now = materialize(
+        # Known rejects are counted where they are read; without a table there are none.
+        before = Observation("known-rejects") if path_exists(spark, tables.rejects) else None
+        seen = known.observe(before, F.count(F.lit(1)).alias("rows")) if before else known
+        still = seen.join(refused.select(*keys), keys, "left_semi").select(*REJECTS_SCHEMA.names)
+        now, tally = materialize_counted(
             insert_ignore(known, refused, keys).withColumn("is_new", F.lit(True))
-            .unionByName(still.withColumn("is_new", F.lit(False))), "rejects")
-        tally = now.agg(
-            F.count("*").alias("all"), F.count_if("is_new").alias("new"),
-            F.count_if(F.col("is_new") & (F.col("rejection_reason") != DUPLICATE_REASON)).alias("invalid")).first()
+            .unionByName(still.withColumn("is_new", F.lit(False))), "rejects",
+            all=F.count(F.lit(1)), new=F.count_if("is_new"),
+            invalid=F.count_if(F.col("is_new") & (F.col("rejection_reason") != DUPLICATE_REASON)))
         new_invalid, rejected_total = tally["invalid"], tally["all"]
-        if tally["new"] or tally["all"] != known.count():
+        known_rows = observed(before, lambda: {"rows": known.count()})["rows"] if before else 0
+        if tally["new"] or tally["all"] != known_rows:
             publish(spark, load_id, [Output(
                 tables.rejects, f"load_id={load_id}", now.drop("load_id", "is_new"), rejected_total)])
 
@@ -131,11 +134,11 @@ def upsert_version(spark, root, source, load_id, policy, run_ts, key="claim_id",
     buckets = marker.get("count", buckets)
     target = read_version(spark, root, schema)
     in_bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    changed = materialize(
+    changed, seen = materialize_counted(
         changed_rows(target, source, key, policy, stamp=run_ts, stamp_column=stamp_column)
-        .withColumn(BUCKET, in_bucket), "changed-rows")
-    # One row per bucket.
-    touched = {str(r[BUCKET]): r["count"] for r in changed.groupBy(BUCKET).count().collect()}
+        .withColumn(BUCKET, in_bucket), "changed-rows", rows=F.count(F.lit(1)), buckets=F.collect_set(BUCKET))
+    # At most ``buckets`` numbers.
+    touched = [str(b) for b in seen["buckets"] or []]
     if not touched:
         return 0
     old = read_paths(spark, [f"{root}/{held[b]}/{BUCKET}={b}" for b in touched if b in held], schema)
@@ -144,7 +147,7 @@ def upsert_version(spark, root, source, load_id, policy, run_ts, key="claim_id",
     # Rebalancing gives a bucket one file, or several of even size where it is large.
     write_aside(merged.hint("rebalance", F.col(BUCKET)), root, version, [BUCKET])
     switch_version(spark, root, version, {**held, **{b: version for b in touched}}, buckets)
-    return sum(touched.values())
+    return seen["rows"]
 
 
 def chunked_rows(checked: DataFrame, chunk_size: int) -> DataFrame:
@@ -193,14 +196,14 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
         checked = surrogate_id(source_checked(source, as_of), "source_row")
         rows = materialize(checked, "source-rows")
         kept, bad = source_split(rows)
-        # Kept and bad rows come from one join; write it once.
-        split = materialize(
+        # Kept and bad rows come from one join; write it once, and count them as they are written.
+        split, tally = materialize_counted(
             kept.withColumn("rejection_reason", F.lit(None).cast("string")).unionByName(bad)
             .withColumn("is_kept", F.col("rejection_reason").isNull()),
-            "source-split", ["is_kept"])
-        tally = {r["is_kept"]: r["count"] for r in split.groupBy("is_kept").count().collect()}
-        good, quarantined = tally.get(True, 0), tally.get(False, 0)
-        counts.update(source_rows_read=rows.count(), source_rows_quarantined=quarantined)
+            "source-split", ["is_kept"], good=F.count_if("is_kept"), quarantined=F.count_if(~F.col("is_kept")))
+        good, quarantined = tally["good"], tally["quarantined"]
+        # Every source row is kept or quarantined.
+        counts.update(source_rows_read=good + quarantined, source_rows_quarantined=quarantined)
 
         bad = split.filter(~F.col("is_kept"))
         files = Output(

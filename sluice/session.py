@@ -65,6 +65,27 @@ def materialize(df: DataFrame, label: str, partition_by=()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def materialize_counted(df: DataFrame, label: str, partition_by=(), **metrics) -> tuple[DataFrame, dict]:
+    """``materialize``, and ``metrics`` (name to aggregate) taken from the write itself, not by another scan.
+
+    A task that is run again may count twice; callers that publish recount
+    what they wrote, so such a count fails the load and is never published.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation(label)
+    out = materialize(df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), label, partition_by)
+    return out, observed(seen, lambda: out.agg(*[c.alias(k) for k, c in metrics.items()]).first().asDict())
+
+
+def observed(seen, otherwise) -> dict:
+    """The metrics of an Observation; where no task reported them (an input without files or rows), ``otherwise()``."""
+    try:
+        return seen.get
+    except Exception:  # noqa: BLE001 - Spark raises a bare assertion for missing metrics
+        return otherwise()
+
+
 def truncate_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a small frame that several plans reuse."""
     work_dir(df.sparkSession)
