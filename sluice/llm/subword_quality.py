@@ -33,7 +33,7 @@ from sluice.session import materialize
 
 BUCKETS, DIM = 1 << 18, 16
 MIN_N, MAX_N = 3, 5
-EPOCHS, LEARNING_RATE = 5, 1.0
+EPOCHS, LEARNING_RATE = 3, 1.0
 THRESHOLD = 0.5
 #: Training rows of one SGD task, about; the tasks' changes are averaged.
 ROWS_PER_TASK = 20_000
@@ -121,29 +121,39 @@ def _tokens(data, offsets):
     return coded.indices.to_numpy().astype(np.int64), first, coded.dictionary
 
 
+def segment_sums(table, index, starts, chunk=1 << 16) -> np.ndarray:
+    """Per segment, the sum of ``table[index[s:e]]``; ``starts`` are the segments' first positions (rising; equal for empty segments).
+
+    Rows are gathered ``chunk`` at a time and summed by ``reduceat``, so
+    memory stays small however long a segment is.
+    """
+    starts = np.asarray(starts, np.int64)
+    out = np.zeros((len(starts), table.shape[1]))
+    for a in range(0, len(index), chunk):
+        b = min(a + chunk, len(index))
+        cuts = np.unique(np.concatenate([[a], starts[(starts > a) & (starts < b)]]))
+        # The segment that holds a cut is the last one starting there (empty segments start there too).
+        holder = np.searchsorted(starts, cuts, "right") - 1
+        np.add.at(out, holder, np.add.reduceat(table[index[a:b]], cuts - a, axis=0, dtype=np.float64))
+    return out
+
+
 def _word_sums(embedding, words):
-    """Per distinct word, the sum of its features' rows and their number; one dimension at a time, to hold little."""
+    """Per distinct word, the sum of its features' rows and their number."""
     fw, fb = word_features(words)
-    n = len(words)
-    sums = np.zeros((n, embedding.shape[1]), np.float64)
-    for k in range(embedding.shape[1]):
-        sums[:, k] = np.bincount(fw, embedding[fb, k], minlength=n)
-    return sums, np.bincount(fw, minlength=n)
+    count = np.bincount(fw, minlength=len(words))
+    return segment_sums(embedding, fb, np.concatenate([[0], np.cumsum(count)[:-1]])), count
 
 
 def doc_vectors(model: Model, data, offsets) -> np.ndarray:
     """Mean feature row of every text (zeros for a text without words)."""
     codes, first, words = _tokens(data, offsets)
     rows = len(offsets) - 1
-    out = np.zeros((rows, model.embedding.shape[1]))
     if not len(codes):
-        return out
+        return np.zeros((rows, model.embedding.shape[1]))
     sums, count = _word_sums(model.embedding, words)
-    row_of = np.repeat(np.arange(rows), np.diff(first))
-    n = np.bincount(row_of, count[codes], minlength=rows)
-    for k in range(out.shape[1]):
-        out[:, k] = np.bincount(row_of, sums[codes, k], minlength=rows)
-    return out / np.maximum(n, 1)[:, None]
+    n = np.bincount(np.repeat(np.arange(rows), np.diff(first)), count[codes], minlength=rows)
+    return segment_sums(sums, codes, first[:-1]) / np.maximum(n, 1)[:, None]
 
 
 def probabilities(model: Model, vectors) -> np.ndarray:
