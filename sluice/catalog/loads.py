@@ -19,7 +19,7 @@ from sluice.sinks.publish import read_version
 from sluice.sinks.tables import hadoop_path, read_load_table, write_load
 from sluice.sources.tables import read_table
 from sluice.streaming.claims import run_claims_intake
-from sluice.streaming.split_files import run_intake
+from sluice.streaming.split_files import commits_folder, read_committed, run_intake
 
 RUN_TS = "2001-01-01 00:00:00"
 STAGE_SHOWN = ["claim_id", "patient_id", "provider_id", "diagnosis_code", "procedure_code",
@@ -347,5 +347,6 @@ def split_file_intake(spark, sf_dir):
     for _ in range(2):
         run_intake(spark, f"{root}/in", targets, f"{root}/failed", f"{root}/checkpoint")
     shown = ["program_name", "row_as_string", "file_uuid", "folder"]
-    one, two = [spark.read.parquet(t).select(F.lit(t.rsplit("/", 1)[1]).alias("target"), *shown) for t in targets]
+    commits = commits_folder(targets)
+    one, two = [read_committed(spark, t, commits).select(F.lit(t.rsplit("/", 1)[1]).alias("target"), *shown) for t in targets]
     return one.unionByName(two)

@@ -1,5 +1,7 @@
 """Split-file intake: arriving files by folder, the same rows to two targets."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.functions import paths as P
@@ -34,15 +36,65 @@ def payload_rows(lines: DataFrame) -> DataFrame:
     ).filter(F.col("folder").isin(*FOLDERS))
 
 
-def write_both(rows: DataFrame, batch_id, targets, write=write_load) -> None:
-    """The rows of a batch to every target, or the failure of the batch.
+def commits_folder(targets) -> str:
+    """Where the commit records of ``targets`` lie by default: beside the first."""
+    return f"{targets[0].rstrip('/').rsplit('/', 1)[0]}/_commits"
+
+
+def _record(spark: SparkSession, commits, batch_id):
+    return hadoop_path(spark, f"{commits}/batch-{int(batch_id):012d}")
+
+
+def commit_batch(spark: SparkSession, commits, batch_id, targets) -> None:
+    """The one record that makes a batch visible in all targets at once.
+
+    It names the targets; it is written aside and renamed into place, which
+    a reader sees whole or not at all.
+    """
+    fs, final = _record(spark, commits, batch_id)
+    _, aside = hadoop_path(spark, f"{commits}/_pending-{int(batch_id):012d}-{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    out.write(bytearray("\n".join(targets).encode()))
+    out.close()
+    if not fs.rename(aside, final):
+        raise OSError(f"batch {batch_id}: commit record not placed")
+
+
+def uncommit_batch(spark: SparkSession, commits, batch_id) -> None:
+    fs, final = _record(spark, commits, batch_id)
+    fs.delete(final, False)
+
+
+def committed(spark: SparkSession, commits) -> list[int]:
+    """Batches whose commit record is in place."""
+    fs, folder = hadoop_path(spark, commits)
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(n[len("batch-"):]) for n in names if n.startswith("batch-"))
+
+
+def read_committed(spark: SparkSession, target, commits) -> DataFrame:
+    """A target's rows of committed batches only; the batch folders of others are not read."""
+    done = committed(spark, commits)
+    rows = spark.read.parquet(target)
+    return rows.where(F.col("batch_id").isin(done)) if done else rows.where(F.lit(False))
+
+
+def write_both(rows: DataFrame, batch_id, targets, write=write_load, commits=None) -> None:
+    """The rows of a batch to every target, then its commit record; readers see both or neither.
 
-    Each target is keyed by batch, so a batch that stopped between two targets
-    replaces its own rows when it runs again.
+    Each target is keyed by batch.  A batch that runs again takes its record
+    back first, so while it replaces its rows nothing of it is seen, and a
+    run that stopped between two targets is never seen until one finishes.
     """
+    spark = rows.sparkSession
+    commits = commits or commits_folder(targets)
+    uncommit_batch(spark, commits, batch_id)
     keyed = rows.withColumn("batch_id", F.lit(int(batch_id)))
     for target in targets:
         write(keyed, target, keys=("batch_id",))
+    commit_batch(spark, commits, batch_id, targets)
 
 
 def drop_batch(spark: SparkSession, targets, batch_id) -> None:
@@ -69,6 +121,7 @@ def intake_batch(targets, failed_root, database, stamp, write=write_load):
         try:
             write_both(rows, batch_id, targets, write)
         except Exception:
+            uncommit_batch(batch.sparkSession, commits_folder(targets), batch_id)
             drop_batch(batch.sparkSession, targets, batch_id)
             archive_failed(rows, failed_root, batch_id, database, stamp)
         finally:

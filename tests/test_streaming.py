@@ -117,3 +117,36 @@ def test_empty_batch_is_no_load(spark, folder):
     tables = Tables(f"{folder}/x")
     claims_batch(tables, "S", "2025-12-31", "2026-01-01 00:00:00")(spark.createDataFrame([], "path string"), 0)
     assert not os.path.exists(tables.stage)
+
+
+def test_both_targets_or_neither(spark, folder):
+    from sluice.streaming.split_files import read_committed, write_both
+
+    rows = spark.createDataFrame([("P", "1,2", "u", "success_split_files", "u_P")], "program_name string, row_as_string string, file_uuid string, folder string, id_and_program string")
+    targets, commits = [f"{folder}/one", f"{folder}/two"], f"{folder}/_commits"
+
+    class Stop(BaseException):
+        """The driver dies: no handler runs."""
+
+    def dies_before_two(df, path, keys):
+        if path.endswith("two"):
+            raise Stop
+        write_load(df, path, keys)
+
+    try:
+        write_both(rows, 3, targets, dies_before_two, commits)
+    except Stop:
+        pass
+    assert spark.read.parquet(targets[0]).count() == 1
+    assert [read_committed(spark, t, commits).count() for t in targets[:1]] == [0]
+    write_both(rows, 3, targets, commits=commits)
+    assert [read_committed(spark, t, commits).count() for t in targets] == [1, 1]
+    # A replay that dies again hides the batch in both, never one of them.
+    try:
+        write_both(rows.union(rows), 3, targets, dies_before_two, commits)
+    except Stop:
+        pass
+    assert [read_committed(spark, t, commits).count() for t in targets] == [0, 0]
+    write_both(rows.union(rows), 3, targets, commits=commits)
+    write_both(rows, 4, targets, commits=commits)
+    assert [read_committed(spark, t, commits).count() for t in targets] == [3, 3]
