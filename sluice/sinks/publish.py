@@ -73,34 +73,96 @@ def remove(spark: SparkSession, path) -> None:
     fs.delete(p, True)
 
 
+def _intent_path(outputs, load_id) -> str:
+    return f"{outputs[0].root}/_publishing/{load_id}.json"
+
+
+def _write_text(spark: SparkSession, path, text) -> None:
+    """A small file that appears whole: written aside, then renamed."""
+    fs, final = hadoop_path(spark, path)
+    _, aside = hadoop_path(spark, f"{path}.writing")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(final, False)
+    if not fs.rename(aside, final):
+        raise OSError(f"could not place {path}")
+
+
+def _read_text(spark: SparkSession, path):
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def take_back(spark: SparkSession, load_id, outputs) -> bool:
+    """Undo a publish of ``load_id`` that a dead driver left half done; True if there was one.
+
+    The intent record, written before the first move, names every output and
+    whether it held data before.  Set-aside data goes back to its place; data
+    promoted by the dead run, which a re-run makes again, goes.  Only then are
+    the record and the staging folders removed.
+    """
+    text = _read_text(spark, _intent_path(outputs, load_id))
+    if text is None:
+        return False
+    for move in reversed(json.loads(text)["moves"]):
+        aside, published, had_old = move["aside"], move["published"], move["had_old"]
+        if path_exists(spark, aside):
+            remove(spark, published)
+            rename(spark, aside, published)
+        elif not had_old:
+            remove(spark, published)
+    for root in {m["root"] for m in json.loads(text)["moves"]}:
+        remove(spark, f"{root}/_staging/{load_id}")
+    remove(spark, _intent_path(outputs, load_id))
+    return True
+
+
 def publish(spark: SparkSession, load_id, outputs) -> dict:
     """Stage and check every output, then promote them; rows by output name.
 
-    What an output replaces is set aside first.  If a promotion or the recount
-    after it fails, everything promoted so far is taken back, in reverse order,
-    and the earlier data returns to its place.
+    A publish of the same load that a dead driver left half done is taken back
+    first.  What an output replaces is set aside, after an intent record that
+    names every move.  If a promotion or the recount after it fails, everything
+    promoted so far is taken back, in reverse order, and the earlier data
+    returns to its place.  Set-aside data is deleted only after a success or a
+    complete undo; otherwise it stays, with the record, for ``take_back``.
     """
-    rows, undo = {}, []
+    take_back(spark, load_id, outputs)
+    rows, undo, settled = {}, [], False
+    intent = _intent_path(outputs, load_id)
     try:
         for out in outputs:
             out.write(out.staged(load_id))
             rows[out.name] = out.check(out.staged(load_id), "recount before publishing")
-        for out in outputs:
-            aside = f"{out.staged(load_id)}.replaced"
-            if path_exists(spark, out.published):
-                rename(spark, out.published, aside)
-                undo.append((aside, out.published))
+        moves = [{"root": out.root, "aside": f"{out.staged(load_id)}.replaced", "published": out.published,
+                  "had_old": path_exists(spark, out.published)} for out in outputs]
+        _write_text(spark, intent, json.dumps({"load_id": load_id, "moves": moves}))
+        for out, move in zip(outputs, moves, strict=True):
+            if move["had_old"]:
+                rename(spark, out.published, move["aside"])
+                undo.append((move["aside"], out.published))
             rename(spark, out.staged(load_id), out.published)
             undo.append((out.published, out.staged(load_id)))
         for out in outputs:
             out.check(out.published, "recount after publishing")
+        settled = True
     except BaseException:
         for source, target in reversed(undo):
             rename(spark, source, target)
+        settled = True
         raise
     finally:
-        for out in outputs:
-            remove(spark, f"{out.root}/_staging/{load_id}")
+        if settled:
+            remove(spark, intent)
+            for out in outputs:
+                remove(spark, f"{out.root}/_staging/{load_id}")
     return rows
 
 
