@@ -55,8 +55,9 @@ def _fingerprints(data, offsets, size, seed) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE_WORDS, seed=SEED) -> DataFrame:
-    """(id_col, fingerprint long) of every row; a text without words has fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE_WORDS, seed=SEED, carry=()) -> DataFrame:
+    """(id_col, fingerprint long, *carry) of every row; a text without words has fingerprint zero."""
+    carry = list(carry)
 
     def run(batches):
         for batch in batches:
@@ -64,10 +65,12 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE
             found = [_fingerprints(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], size, seed) for i, j in steps(offsets, 2 << 20)]
             values = np.concatenate(found) if found else np.zeros(0, np.uint64)
             release()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[id_col, "fingerprint"])
+            extra = [batch.column(2 + k) for k in range(len(carry))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64)), *extra], names=[id_col, "fingerprint", *carry])
 
-    source = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col))
-    return source.mapInArrow(run, f"`{id_col}` long, fingerprint long")
+    source = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("_fingerprint_text"), *[F.col(c) for c in carry])
+    kinds = "".join(f", `{c}` {source.schema[c].dataType.simpleString()}" for c in carry)
+    return source.mapInArrow(run, f"`{id_col}` long, fingerprint long{kinds}")
 
 
 @cache
@@ -229,6 +232,21 @@ def links(prints: DataFrame, max_bits=MAX_BITS, tile_rows=TILE_ROWS) -> DataFram
     return found.where("kind = 0").select("u", "v").union(crossed)
 
 
+def _components(marked: DataFrame, id_col, max_bits) -> DataFrame:
+    """(fingerprint, component, component_id) of every distinct fingerprint of ``marked``.
+
+    ``component`` is a fingerprint of the component, unique to it;
+    component_id its smallest id (null if no member has one).
+    """
+    nodes = materialize(marked.groupBy("fingerprint").agg(F.min(id_col).alias("least_id")), "simhash-nodes")
+    linked = components(links(nodes, max_bits))
+    placed = nodes.join(linked, nodes.fingerprint == linked.node, "left").select(
+        "fingerprint", "least_id", F.coalesce("component", "fingerprint").alias("component"))
+    # Minima first, then looked up: a large component is no hot group.
+    least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return placed.join(least, "component").select("fingerprint", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE_WORDS, seed=SEED, max_bits=MAX_BITS) -> DataFrame:
     """(id_col, fingerprint string, component_id) of every row.
 
@@ -238,24 +256,27 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", size=SHIN
     are never compared with each other.  No rows give no rows.
     """
     marked = materialize(fingerprints(docs, id_col, text_col, size, seed), "simhash-prints")
-    nodes = materialize(marked.groupBy("fingerprint").agg(F.min(id_col).alias("least_id")), "simhash-nodes")
-    linked = components(links(nodes, max_bits))
-    placed = nodes.join(linked, nodes.fingerprint == linked.node, "left").select(
-        "fingerprint", "least_id", F.coalesce("component", "fingerprint").alias("component"))
-    # Minima first, then looked up: a large component is no hot group.
-    least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = placed.join(least, "component").select("fingerprint", "component_id")
+    named = _components(marked, id_col, max_bits).select("fingerprint", "component_id")
     return marked.join(named, "fingerprint").select(
         id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col="doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of rows that share it, one.
+def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE_WORDS, seed=SEED, max_bits=MAX_BITS) -> DataFrame:
+    """One row of every component of ``docs``, with all its columns.
 
-    Rows without an id cannot be told apart by it and stay.
+    Every row, with or without an id, belongs to the component of its
+    fingerprint.  The row kept is the least by id (nulls last), then by the
+    SHA-256 of its text, then by a hash of the whole row; of rows equal in
+    all that, one.  Two different texts that share an id are kept each
+    unless they are near copies.  The choice is a partial minimum per
+    component and a lookup, so no component is gathered in one task.
     """
-    found = near_duplicates(docs, id_col, **options)
-    names = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = named.join(names, named[id_col].cast("long") == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    marked = materialize(fingerprints(rows, "_id", "_text", size, seed, carry=["_text", "_row"]), "simhash-rows")
+    placed = marked.join(_components(marked, "_id", max_bits).select("fingerprint", "component"), "fingerprint")
+    order = F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"), F.sha2(F.coalesce("_text", F.lit("")), 256).alias("c"),
+                     F.xxhash64("_row").alias("d"))
+    placed = placed.withColumn("_order", order)
+    best = placed.groupBy("component").agg(F.min("_order").alias("_best"))
+    chosen = placed.join(best, (placed.component == best.component) & (placed._order == best._best), "left_semi")
+    return chosen.dropDuplicates(["component"]).select("_row.*")

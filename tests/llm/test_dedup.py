@@ -76,10 +76,22 @@ def test_simhash_keeps_one(docs, repeated, empty, rows):
     assert kept.columns == docs.columns
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids == sorted(names)
-    assert kept.where("doc_id is null").count() == 1
+    # The row without an id copies a text that has one: its component keeps the row with the id.
+    assert kept.where("doc_id is null").count() == 0 and kept.count() == len(names)
     assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_one(empty).collect() == []
 
 
+def test_simhash_keeps_texts_that_share_an_id(spark, docs):
+    rows = [(1, "alpha beta gamma delta epsilon zeta eta theta"), (1, "completely other words here and there again"),
+            (None, "copy without id of nothing else at all"), (None, "copy without id of nothing else at all"), (2, None), (3, "")]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, fingerprint string")
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in kept.collect())
+    # Null and empty texts share fingerprint zero: id 2 stands for both.
+    assert got == sorted([(1, rows[0][1]), (1, rows[1][1]), (-1, rows[2][1]), (2, "")])
+
+
 @pytest.mark.parametrize("tile_rows", [simhash.TILE_ROWS, 8])
 def test_links_find_every_pair(spark, docs, tile_rows):
     """Also where an anchor is cut into tiles: a chain of prints three bits apart, and a cloud around one print."""
