@@ -13,11 +13,12 @@ from sluice.sources.documents import read_documents
 
 
 def run_documents(spark: SparkSession, documents: DataFrame, output, run_id, processed_at,
-                  target=None, parity=True) -> dict:
+                  target=None, parity=True, buckets=16) -> dict:
     """Parse documents and write records, queues and the summary of a run.
 
     Without input the run does nothing.  With a ``target``, records replace
-    those of the same document.
+    those of the same document, in ``buckets`` key buckets when the run
+    creates the target (an existing target keeps its own).
     """
     if documents.isEmpty():
         return {"run_id": run_id, "succeeded": 0, "failed": 0, "review_needed": 0}
@@ -33,7 +34,7 @@ def run_documents(spark: SparkSession, documents: DataFrame, output, run_id, pro
     upserted = 0
     if target is not None:
         upserted = upsert_version(
-            spark, target, records, run_id, "always", None, key="document_id", schema=records.schema)
+            spark, target, records, run_id, "always", None, key="document_id", schema=records.schema, buckets=buckets)
     totals = run_totals(documents, parsed).first().asDict()
     return {"run_id": run_id, **totals, "upserted": upserted}
 

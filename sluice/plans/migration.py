@@ -77,9 +77,12 @@ def audit_state(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def merge_load(spark: SparkSession, tables: Tables, load_id, as_of, run_ts, policy="null_safe",
-               hash_mode="md5", enforce_codes=False, order=MERGE_ORDER, keep_rejects=True) -> dict:
+               hash_mode="md5", enforce_codes=False, order=MERGE_ORDER, keep_rejects=True, buckets=TARGET_BUCKETS) -> dict:
     """Merge one staged load into the target; running it again changes nothing.
 
+    ``buckets`` is the target's number of key buckets when the merge creates
+    it; a target that exists keeps its own.
+
     ``rejected_rows`` counts invalid rows newly rejected, ``rejected_total``
     all rejects of the load, duplicates included.
     """
@@ -115,7 +118,7 @@ def merge_load(spark: SparkSession, tables: Tables, load_id, as_of, run_ts, poli
                 tables.rejects, f"load_id={load_id}", now.drop("load_id", "is_new"), rejected_total)])
 
     upserted = upsert_version(
-        spark, tables.target, judged.filter("is_first"), load_id, policy, run_ts)
+        spark, tables.target, judged.filter("is_first"), load_id, policy, run_ts, buckets=buckets)
     return {"rejected_rows": new_invalid, "rejected_total": rejected_total, "upserted_rows": upserted}
 
 
@@ -174,7 +177,7 @@ def chunk_events(per_chunk: DataFrame, load_id, at, attempt=0) -> DataFrame:
 
 
 def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_id, as_of, run_ts,
-                   policy="null_safe", hash_mode="md5", enforce_codes=False, chunk_size=None) -> dict:
+                   policy="null_safe", hash_mode="md5", enforce_codes=False, chunk_size=None, buckets=TARGET_BUCKETS) -> dict:
     """Extract, quarantine, stage, merge, reconcile; always returns a result record.
 
     With ``chunk_size``, the extract in its order (claim_id, then every column)
@@ -185,7 +188,7 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
     place in the extract.
     """
     if chunk_size:
-        return _process_chunks(spark, source, tables, load_id, as_of, run_ts, policy, hash_mode, enforce_codes, chunk_size)
+        return _process_chunks(spark, source, tables, load_id, as_of, run_ts, policy, hash_mode, enforce_codes, chunk_size, buckets)
     at = run_ts
     counts = {"source_rows_read": 0, "source_rows_quarantined": 0, "staged_rows_loaded": 0}
     attempt = 0
@@ -220,7 +223,7 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
         write_audit(spark, tables, audit.progress(load_id, PROCESS_NAME, at, 0, attempt, **counts))
         audit.check_batch(good, counts["staged_rows_loaded"])
 
-        merged = merge_load(spark, tables, load_id, as_of, at, policy, hash_mode, enforce_codes)
+        merged = merge_load(spark, tables, load_id, as_of, at, policy, hash_mode, enforce_codes, buckets=buckets)
         write_audit(spark, tables, audit.succeeded(
             load_id, PROCESS_NAME, at, merged["rejected_total"], merged["upserted_rows"], attempt))
         expected = counts["source_rows_read"] - counts["source_rows_quarantined"]
@@ -238,7 +241,7 @@ def process_claims(spark: SparkSession, source: DataFrame, tables: Tables, load_
         return {"status": "FAILED", "load_id": load_id, "error": str(error), **counts, "quarantine_files": []}
 
 
-def _process_chunks(spark, source, tables, load_id, as_of, at, policy, hash_mode, enforce_codes, chunk_size) -> dict:
+def _process_chunks(spark, source, tables, load_id, as_of, at, policy, hash_mode, enforce_codes, chunk_size, buckets) -> dict:
     counts = {"source_rows_read": 0, "source_rows_quarantined": 0, "staged_rows_loaded": 0}
     attempt = 0
     if path_exists(spark, tables.audit):
@@ -278,7 +281,7 @@ def _process_chunks(spark, source, tables, load_id, as_of, at, policy, hash_mode
         if wrong:
             audit.check_batch(wrong[0]["valid"], wrong[0]["staged"], f"chunk {wrong[0]['chunk']}")
 
-        merged = merge_load(spark, tables, load_id, as_of, at, policy, hash_mode, enforce_codes)
+        merged = merge_load(spark, tables, load_id, as_of, at, policy, hash_mode, enforce_codes, buckets=buckets)
         write_audit(spark, tables, audit.succeeded(
             load_id, PROCESS_NAME, at, merged["rejected_total"], merged["upserted_rows"], attempt))
         expected = counts["source_rows_read"] - counts["source_rows_quarantined"]

@@ -217,3 +217,17 @@ def test_patient_file_and_warehouse(spark, tmp_path, folder):
 def test_header_with_quotes(spark, tmp_path):
     names = C.read_header(spark, put(tmp_path / "q.csv", '"provider_id", Claim_Amount ,claim_id,service_date,patient_id,procedure_code,diagnosis_code\n'))
     assert names[:2] == ["provider_id", "claim_amount"]
+
+
+def test_merge_buckets_are_the_callers(spark, folder):
+    tables = M.Tables(f"{folder}/b")
+    staged(spark, tables, "L1", [(str(k), "2", 5.0, "2025-01-01", "2025-01-01 00:00:00", k) for k in range(1, 200)])
+    assert M.merge_load(spark, tables, "L1", AS_OF, TS, buckets=64)["upserted_rows"] == 199
+    marker = P.current_marker(spark, tables.target)
+    assert marker["count"] == 64 and len(marker["buckets"]) == 64
+    staged(spark, tables, "L2", [("7", "2", 9.0, "2025-01-01", "2025-01-02 00:00:00", 1)])
+    assert M.merge_load(spark, tables, "L2", AS_OF, TS, buckets=8)["upserted_rows"] == 1
+    after = P.current_marker(spark, tables.target)
+    # The target keeps its own count; one bucket is written anew.
+    assert after["count"] == 64 and sum(after["buckets"][b] != marker["buckets"][b] for b in marker["buckets"]) == 1
+    assert P.read_version(spark, tables.target, TARGET_SCHEMA).count() == 199
