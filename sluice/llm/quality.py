@@ -21,6 +21,8 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 COMMON_WORDS = 200
 COMMON_WORD_BYTES = 32
+#: Languages with references of their own: the commonest codes; the others are 'und'.
+MAX_LANGUAGES = 256
 #: Distances (base 2, 0 to 1) beyond which a text is rejected.
 CLASS_DISTANCE, WORD_DISTANCE = 0.24, 0.57
 #: Below so many words the squared limits grow by CHANCE / words: the squared distance of a sample grows so.
@@ -103,10 +105,21 @@ def _features(data, offsets):
     return counts, histogram, codes, first, [w.lower() for w in exact.dictionary.to_pylist()]
 
 
-def language_key(column):
-    """Two letters, or 'und': at most 677 languages, whatever the column holds."""
-    key = F.regexp_extract(F.lower(F.coalesce(column, F.lit(""))), "^[a-z]{2}", 0)
-    return F.when(key == "", "und").otherwise(key)
+def _code(column):
+    return F.lower(F.trim(F.coalesce(column, F.lit(""))))
+
+
+def language_key(column, kept=None):
+    """The whole code, lower-cased and trimmed; 'und' for null, empty, or a code not among ``kept``."""
+    code = _code(column)
+    known = code != "" if kept is None else code.isin(list(kept))
+    return F.when(known, code).otherwise(F.lit("und"))
+
+
+def languages(docs: DataFrame, lang_col="lang", limit=MAX_LANGUAGES) -> list:
+    """The ``limit`` commonest codes (ties by code): references are bounded by count, not by cutting codes."""
+    counted = docs.select(_code(F.col(lang_col)).alias("code")).where("code <> ''").groupBy("code").count()
+    return [r.code for r in counted.orderBy(F.desc("count"), "code").limit(limit).collect()]
 
 
 def _totals(batches):
@@ -145,14 +158,14 @@ def _histograms(data, offsets):
     return histogram, coded.indices.to_numpy(), first, coded.dictionary.to_pylist()
 
 
-def references(docs: DataFrame, text_col="text", lang_col="lang", common=COMMON_WORDS) -> DataFrame:
+def references(docs: DataFrame, text_col="text", lang_col="lang", common=COMMON_WORDS, kept=None) -> DataFrame:
     """(lang, word, kind, n) over all documents: class counts (kind 0-7) and the commonest words (kind -1).
 
     Counts are summed per task before the shuffle.  Kind -2 holds the words of
     a language that are not among its ``common`` commonest, long words included;
     ties go by bytes.
     """
-    parts = docs.select(language_key(F.col(lang_col)).alias("lang"), F.col(text_col)).mapInArrow(_totals, "lang string, word binary, kind int, n long")
+    parts = docs.select(language_key(F.col(lang_col), kept).alias("lang"), F.col(text_col)).mapInArrow(_totals, "lang string, word binary, kind int, n long")
     # Read three times below, so written once.
     summed = materialize(parts.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")), "language-counts")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
@@ -232,18 +245,20 @@ def judge(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", cl
     """Counts, distances and verdict of every row: see ``report`` for the columns.
 
     A null or empty text has no words and fails the base rules; a null language
-    is the language 'und'.  The references are gathered as one small table: at
-    most 677 languages of ``COMMON_WORDS`` words of 32 bytes at most.
+    is the language 'und', as is any code beyond the ``MAX_LANGUAGES``
+    commonest.  The references are gathered as one small table: at most
+    ``MAX_LANGUAGES`` + 1 languages of ``COMMON_WORDS`` words of 32 bytes at most.
     """
     spark = docs.sparkSession
-    rows = references(docs, text_col, lang_col).collect()
+    kept = languages(docs, lang_col)
+    rows = references(docs, text_col, lang_col, kept=kept).collect()
     refs: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r.lang, -r.kind, -r.n, bytes(r.word))):
         refs.setdefault(r.lang, []).append((bytes(r.word), r.kind, r.n))
-    for lang in [r[0] for r in docs.select(language_key(F.col(lang_col))).distinct().collect()]:
+    for lang in [*kept, "und"]:
         refs.setdefault(lang, [])
     shared = spark.sparkContext.broadcast(refs)
-    source = docs.select(F.col(id_col).cast("long").alias(id_col), language_key(F.col(lang_col)).alias("_lang"), F.col(text_col).alias("_text"))
+    source = docs.select(F.col(id_col).cast("long").alias(id_col), language_key(F.col(lang_col), kept).alias("_lang"), F.col(text_col).alias("_text"))
     schema = f"`{id_col}` long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, base_failed boolean, kept boolean"
     return source.mapInArrow(_judge(shared, [id_col], (class_distance, word_distance)), schema)
 

@@ -263,3 +263,13 @@ def test_label_model_finds_accuracies():
     assert ((posterior > 0.5) == truth).mean() > (given == truth).mean()
     assert np.abs(fires[:3] - [0.7, 0.6, 0.5]).max() < 0.12 and np.abs(false_alarms[:3] - [0.01, 0.02, 0.3]).max() < 0.1
     assert corr[0, 3] > 0.99 and abs(corr[0, 1]) < 0.2
+
+
+def test_quality_languages_by_whole_code(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("fil",), ("fi",), (" FI ",), (None,), ("",), ("kok",)], "lang string")
+    got = [r[0] for r in df.select(quality.language_key(F.col("lang"))).collect()]
+    assert got == ["fil", "fi", "fi", "und", "und", "kok"]
+    assert quality.languages(df, limit=2) == ["fi", "fil"]
+    assert [r[0] for r in df.select(quality.language_key(F.col("lang"), ["fi"])).collect()] == ["und", "fi", "fi", "und", "und", "und"]
