@@ -9,6 +9,7 @@ slot; a slot holds a fingerprint of the key, so that a foreign key is told
 apart, and the key's first document.  A lookup costs the same in any shard.
 """
 
+import json
 import os
 import zlib
 from array import array
@@ -143,10 +144,29 @@ def _pieces(data, offsets):
     return pieces, np.searchsorted(starts, offsets)
 
 
+# The normaliser and pre-tokenizer of word_bpe_49k.json, whose cuts ``_pieces`` makes.
+PIECE_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PIECE_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def cuts_as_pieces(text: str) -> bool:
+    """Whether a tokenizer normalises and splits as ``_pieces`` does; others have whole texts encoded."""
+    config = json.loads(text)
+    return config.get("normalizer") == PIECE_NORMALIZER and config.get("pre_tokenizer") == PIECE_PRE_TOKENIZER
+
+
 class _Encoder:
-    """The library's ids of pieces; those of many pieces are remembered over a worker's tasks."""
+    """The library's ids of pieces; those of many pieces are remembered over a worker's tasks.
+
+    A tokenizer that normalises or splits otherwise is given whole texts, so
+    its ids are always the library's own.
+    """
 
     def __init__(self, text):
+        self.by_pieces = cuts_as_pieces(text)
         # Tasks are the parallelism; threads of the library would contend.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -158,6 +178,13 @@ class _Encoder:
 
     def ids(self, data, offsets):
         """Ids of all texts of a run and the number of each."""
+        if not self.by_pieces:
+            raw = data.tobytes()
+            made = self.tokenizer.encode_batch_fast(
+                [raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], add_special_tokens=False)
+            sizes = np.array([len(e.ids) for e in made], np.int64)
+            pool = np.fromiter((i for e in made for i in e.ids), np.uint32, int(sizes.sum()))
+            return pool, sizes
         pieces, first = _pieces(data, offsets)
         coded = pieces.dictionary_encode()
         words = coded.dictionary.to_pylist()

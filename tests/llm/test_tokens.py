@@ -97,3 +97,20 @@ def test_perfect_index():
     assert (index.find(keys + 1) >= 0).sum() <= 3
     with pytest.raises(ValueError):
         token_index.PerfectIndex.build(np.array([1, 1], np.int64))
+
+
+def test_token_index_other_tokenizers(docs, rows, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    words = Tokenizer(models.WordLevel({"[UNK]": 0, "hello": 1, "world": 2, "a1": 3}, unk_token="[UNK]"))
+    words.pre_tokenizer = pre_tokenizers.Whitespace()
+    words.save(str(tmp_path / "words.json"))
+    for path in [str(tmp_path / "words.json"), "/opt/tokenizers/byte_bpe_50k.json"]:
+        library = Tokenizer.from_file(path)
+        assert not token_index.cuts_as_pieces(open(path).read())
+        want, at = {}, 0
+        for d, t in sorted(rows):
+            ids = np.array(library.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+            want[d] = (at, len(ids), zlib.crc32(ids.tobytes()))
+            at += len(ids)
+        assert {r.doc_id: tuple(r)[1:] for r in token_index.report(docs, path).collect()} == want
