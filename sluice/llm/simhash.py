@@ -268,15 +268,18 @@ def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", size=SHINGLE_WOR
     fingerprint.  The row kept is the least by id (nulls last), then by the
     SHA-256 of its text, then by a hash of the whole row; of rows equal in
     all that, one.  Two different texts that share an id are kept each
-    unless they are near copies.  The choice is a partial minimum per
-    component and a lookup, so no component is gathered in one task.
+    unless they are near copies.  Components and choices are found on small
+    rows (id and two hashes); the choice is a partial minimum per component,
+    so no component is gathered in one task, and the documents are shuffled
+    once, by the chosen key.  ``docs`` is read twice: pass a scan or a
+    written table.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    marked = materialize(fingerprints(rows, "_id", "_text", size, seed, carry=["_text", "_row"]), "simhash-rows")
+    key = F.concat_ws("|", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("-")),
+                      F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).cast("string"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), key.alias("_keep_key"))
+    marked = materialize(fingerprints(rows, "_id", "_text", size, seed, carry=["_keep_key"]), "simhash-keys")
     placed = marked.join(_components(marked, "_id", max_bits).select("fingerprint", "component"), "fingerprint")
-    order = F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"), F.sha2(F.coalesce("_text", F.lit("")), 256).alias("c"),
-                     F.xxhash64("_row").alias("d"))
-    placed = placed.withColumn("_order", order)
-    best = placed.groupBy("component").agg(F.min("_order").alias("_best"))
-    chosen = placed.join(best, (placed.component == best.component) & (placed._order == best._best), "left_semi")
-    return chosen.dropDuplicates(["component"]).select("_row.*")
+    placed = placed.withColumn("_order", F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"), F.col("_keep_key").alias("c")))
+    best = placed.groupBy("component").agg(F.min("_order").alias("_best")).select(F.col("_best.c").alias("_keep_key"))
+    kept = docs.withColumn("_keep_key", key).join(best, "_keep_key", "left_semi")
+    return kept.dropDuplicates(["_keep_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
