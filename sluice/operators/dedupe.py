@@ -6,7 +6,7 @@ rows of a key in one task.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sluice.operators.lookup import HOT_ROWS, key_counts, mark_listed, same_keys
+from sluice.operators.lookup import HOT_ROWS, hot_keys, key_counts, mark_listed, same_keys
 from sluice.session import materialize, truncate_lineage
 
 
@@ -60,19 +60,35 @@ def keep_latest(df: DataFrame, keys, by="updated_at", tie_break=()) -> DataFrame
     return keep_first(df, keys, [(by, "desc")] + [(c, "desc") for c in tie_break])
 
 
-def mark_first(df: DataFrame, keys, order, row_id="row_id", name="is_first") -> DataFrame:
+def mark_first(df: DataFrame, keys, order, row_id="row_id", name="is_first", late=None, hot_rows=HOT_ROWS) -> DataFrame:
     """Mark the first row of each key; all rows stay.
 
-    The first rows are found on the key, order and identity columns alone and
-    looked up by ``row_id``, which is unique and so spreads evenly however
-    rows are spread over keys.  ``row_id`` must be stable: part of a written
-    table, or of a file scan.
+    Rows are shuffled once, by key; rows of a hot key are spread over tasks by
+    ``row_id`` and compared with its first row, which is found before and
+    broadcast.  ``row_id`` must be unique and stable: part of a written table,
+    or of a file scan; ``df`` is read twice.  ``late`` adds columns that the
+    order needs after the shuffle, so that they are not part of it.
     """
-    needed = list(dict.fromkeys([*keys, *[c for c, _ in order], row_id]))
-    firsts = keep_first(df.select(*needed), keys, [*order, (row_id, "asc")])
-    marks = firsts.select(F.col(row_id).alias("_first_id"), F.lit(True).alias("_first"))
-    joined = df.join(marks, F.col(row_id) == F.col("_first_id"), "left")
-    return joined.select(*df.columns, F.coalesce(F.col("_first"), F.lit(False)).alias(name))
+    keys = list(keys)
+    order = [*order, (row_id, "asc")]
+    late = late or (lambda rows: rows)
+    hot = hot_keys(df, keys, hot_rows)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*sql_order(order)))
+    if hot is None:
+        dealt = late(df.repartition(*keys))
+        return dealt.select(*dealt.columns, (place == 1).alias(name))
+    named = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    firsts = truncate_lineage(keep_first(
+        late(df.join(F.broadcast(named), same_keys(keys, "_hot_"), "left_semi")), keys, order).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.col(row_id).alias("_first_id"), F.lit(True).alias("_hot")))
+    marked = df.join(F.broadcast(firsts), same_keys(keys, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
+    # Hot rows are dealt by their identity, each a key of its own.
+    spread = F.when(F.col("_hot"), F.xxhash64(row_id)).otherwise(0)
+    dealt = late(marked.withColumn("_spread", spread).repartition(*keys, "_spread"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_spread").orderBy(*sql_order(order)))
+    first = F.when(F.col("_hot"), F.col(row_id) == F.col("_first_id")).otherwise(place == 1)
+    shown = [c for c in dealt.columns if c not in ("_hot", "_first_id", "_spread")]
+    return dealt.select(*shown, first.alias(name))
 
 
 def surrogate_id(df: DataFrame, name="stg_claim_row_id") -> DataFrame:

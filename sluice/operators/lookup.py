@@ -4,10 +4,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from sluice.session import materialize, truncate_lineage
+
 HOT_ROWS = 100_000
 # A hot key holds at least this share of the looked-up rows, so there are at
 # most as many of them as shares.
 HOT_SHARES = 10_000
+# Groups of keys by hash that are counted first: only keys of a group with a hot key's rows are counted themselves.
+SLOTS = 1 << 16
 
 
 def key_counts(df: DataFrame, keys) -> DataFrame:
@@ -15,6 +19,23 @@ def key_counts(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("key_rows"))
 
 
+def hot_keys(df: DataFrame, keys, hot_rows=HOT_ROWS):
+    """The keys with ``hot_rows`` rows and one of ``HOT_SHARES`` parts of all rows, hence at most ``HOT_SHARES``; None without any.
+
+    Groups of keys are counted first, which shuffles a number per group and
+    task; only a group with as many rows can hold such a key.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+    slots = materialize(df.groupBy(slot.alias("_slot")).agg(F.count("*").alias("slot_rows")), "key-slots")
+    least = max(hot_rows, (slots.agg(F.sum("slot_rows")).first()[0] or 0) / HOT_SHARES)
+    crowded = slots.filter(F.col("slot_rows") >= least).select("_slot")
+    if crowded.isEmpty():
+        return None
+    inside = df.select(*keys, slot.alias("_slot")).join(F.broadcast(crowded), "_slot", "left_semi")
+    hot = truncate_lineage(key_counts(inside, keys).filter(F.col("key_rows") >= least).select(*keys))
+    return None if hot.isEmpty() else hot
+
+
 def same_keys(keys, prefix):
     """Equal keys, nulls equal too."""
     tests = [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys]

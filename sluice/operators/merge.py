@@ -81,6 +81,14 @@ def changed_rows(target: DataFrame, source: DataFrame, key="claim_id", policy="n
     return written.select(*target.columns)
 
 
+def taken_rows(source: DataFrame, schema, key="claim_id", stamp=None, stamp_column="ingested_at", more=()) -> DataFrame:
+    """All rows of ``source`` with a key, as a merge that takes every one of them stores them, and the columns ``more``."""
+    rows = source.select(*schema.names, *more).filter(F.col(key).isNotNull())
+    if stamp is not None:
+        rows = rows.withColumn(stamp_column, F.lit(stamp).cast(schema[stamp_column].dataType))
+    return rows
+
+
 def replace_rows(old: DataFrame, changed: DataFrame, key="claim_id") -> DataFrame:
     """``old`` with the rows of ``changed`` in place of those of the same keys."""
     return old.join(changed.select(key), key, "left_anti").select(*changed.columns).unionByName(changed)

@@ -11,16 +11,16 @@ from sluice.operators import audit
 from sluice.operators.dedupe import mark_first, surrogate_id
 from sluice.operators.ordinal import with_ordinal
 from sluice.operators.merge import (
-    DUPLICATE_REASON, MERGE_ORDER, add_hash, changed_rows, insert_ignore, invalid_rejects, ranked,
-    replace_rows,
+    DUPLICATE_REASON, MERGE_ORDER, add_hash, changed_rows, insert_ignore, invalid_rejects, replace_rows,
+    taken_rows,
 )
 from sluice.operators.quarantine import quarantine_rows
-from sluice.operators.rules import broken_names, joined_reasons, source_rules, type_source
+from sluice.operators.rules import broken_names, is_target_valid, joined_reasons, source_rules, type_source
 from sluice.operators.schema import check_schema
 from sluice.plans.claims import stage_output
 from sluice.session import materialize, materialize_counted, observed
 from sluice.sinks.publish import (
-    BUCKET, Output, current_marker, next_version, publish, read_paths, read_version, switch_version,
+    BUCKET, Output, current_marker, next_version, publish, read_paths, read_version, remove, switch_version,
     write_aside,
 )
 from sluice.sinks.tables import append_rows, path_exists, read_load_table
@@ -86,68 +86,116 @@ def merge_load(spark: SparkSession, tables: Tables, load_id, as_of, run_ts, poli
     ``rejected_rows`` counts invalid rows newly rejected, ``rejected_total``
     all rejects of the load, duplicates included.
     """
-    stage = add_hash(read_load_table(spark, tables.stage, STAGE_SCHEMA, load_id), hash_mode)
-    stage = stage.withColumn("row_id", F.col("stg_claim_row_id"))
-    valid = ranked(stage, as_of, order=order, enforce_codes=enforce_codes).withColumn(
-        "rejection_reason", F.when(~F.col("is_first"), DUPLICATE_REASON))
-    invalid = invalid_rejects(stage, as_of, enforce_codes).withColumn("is_first", F.lit(False))
-    # Judged once, then read as two partitions.
-    judged = materialize(valid.unionByName(invalid), "judged-stage", ["is_first"])
+    stage = read_load_table(spark, tables.stage, STAGE_SCHEMA, load_id)
+    # A hash made of the row's own columns is neither shuffled nor written aside, but made where it is needed.
+    late = (lambda rows: add_hash(rows, hash_mode)) if hash_mode == "md5" else (lambda rows: rows)
+    bare = stage.drop("record_hash") if hash_mode == "md5" else add_hash(stage, hash_mode)
+    valid = mark_first(bare.filter(is_target_valid(as_of, enforce_codes)), ["claim_id"], order, "stg_claim_row_id", late=late)
+    judged, seen = materialize_counted(
+        valid.select(*bare.columns, "is_first"), "judged-stage", ["is_first"], losers=F.count_if(~F.col("is_first")))
 
     new_invalid = rejected_total = 0
     if keep_rejects:
-        known = read_load_table(spark, tables.rejects, REJECTS_SCHEMA, load_id)
-        refused = judged.filter(~F.col("is_first")).withColumn(
-            "rejected_at", F.lit(run_ts).cast("timestamp"))
-        refused = refused.select(*REJECTS_SCHEMA.names)
-        keys = ["stg_claim_row_id", "rejection_reason"]
-        # A reject that no longer holds, as its stage row was corrected, goes.
-        # Known rejects are counted where they are read; without a table there are none.
-        before = Observation("known-rejects") if path_exists(spark, tables.rejects) else None
-        seen = known.observe(before, F.count(F.lit(1)).alias("rows")) if before else known
-        still = seen.join(refused.select(*keys), keys, "left_semi").select(*REJECTS_SCHEMA.names)
-        now, tally = materialize_counted(
-            insert_ignore(known, refused, keys).withColumn("is_new", F.lit(True))
-            .unionByName(still.withColumn("is_new", F.lit(False))), "rejects",
-            all=F.count(F.lit(1)), new=F.count_if("is_new"),
-            invalid=F.count_if(F.col("is_new") & (F.col("rejection_reason") != DUPLICATE_REASON)))
-        new_invalid, rejected_total = tally["invalid"], tally["all"]
-        known_rows = observed(before, lambda: {"rows": known.count()})["rows"] if before else 0
-        if tally["new"] or tally["all"] != known_rows:
-            publish(spark, load_id, [Output(
-                tables.rejects, f"load_id={load_id}", now.drop("load_id", "is_new"), rejected_total)])
-
+        # Invalid rows are a filter of the stage, which is a written table already.
+        invalid = invalid_rejects(bare, as_of, enforce_codes)
+        lost = judged.filter(~F.col("is_first")).drop("is_first").withColumn("rejection_reason", F.lit(DUPLICATE_REASON))
+        refused = late(invalid.unionByName(lost)).withColumn("rejected_at", F.lit(run_ts).cast("timestamp"))
+        new_invalid, rejected_total = _write_rejects(
+            spark, tables, load_id, refused.select(*REJECTS_SCHEMA.names), lambda: invalid.count(), seen["losers"])
+
+    winners = judged.filter("is_first").drop("is_first")
     upserted = upsert_version(
-        spark, tables.target, judged.filter("is_first"), load_id, policy, run_ts, buckets=buckets)
+        spark, tables.target, winners, load_id, policy, run_ts, buckets=buckets, late=late)
     return {"rejected_rows": new_invalid, "rejected_total": rejected_total, "upserted_rows": upserted}
 
 
+def _write_rejects(spark, tables: Tables, load_id, refused: DataFrame, count_invalid, losers) -> tuple[int, int]:
+    """Insert the refused rows of a load that are not known yet, and drop known ones that no longer hold.
+
+    Returns (invalid rows newly rejected, all rejects of the load).  A staged
+    row is refused once, so (row, reason) is unique among ``refused``.
+    """
+    keys = ["stg_claim_row_id", "rejection_reason"]
+    known = read_load_table(spark, tables.rejects, REJECTS_SCHEMA, load_id)
+    if not path_exists(spark, f"{tables.rejects}/load_id={load_id}"):
+        invalid = count_invalid()
+        if invalid + losers:
+            publish(spark, load_id, [Output(tables.rejects, f"load_id={load_id}", refused.drop("load_id"), invalid + losers)])
+        return invalid, invalid + losers
+    # Keys alone tell whether anything changed; a row without an identity is always new.
+    both = refused.select(*keys, F.lit(1).alias("now"), F.lit(0).alias("then")).unionByName(
+        known.select(*keys, F.lit(0).alias("now"), F.lit(1).alias("then")))
+    pairs = both.groupBy(*keys).agg(F.sum("now").alias("now"), F.sum("then").alias("then"))
+    unnamed = F.col("stg_claim_row_id").isNull()
+    new = F.when(unnamed | (F.col("then") == 0), F.col("now")).otherwise(0)
+    tally = pairs.agg(
+        F.sum("now").alias("all"), F.sum(new).alias("new"),
+        F.sum(F.when(F.col("rejection_reason") != DUPLICATE_REASON, new)).alias("invalid"),
+        F.sum(F.when(unnamed | (F.col("now") == 0), F.col("then"))).alias("gone")).first()
+    if not tally["new"] and not tally["gone"]:
+        return 0, tally["all"] or 0
+    # A reject that no longer holds, as its stage row was corrected, goes.
+    still = known.join(refused.select(*keys), keys, "left_semi").select(*REJECTS_SCHEMA.names)
+    now = materialize(insert_ignore(known, refused, keys).unionByName(still), "rejects")
+    total = now.count()
+    publish(spark, load_id, [Output(tables.rejects, f"load_id={load_id}", now.drop("load_id"), total)])
+    return tally["invalid"] or 0, total
+
+
 def upsert_version(spark, root, source, load_id, policy, run_ts, key="claim_id", schema=TARGET_SCHEMA,
-                   stamp_column="ingested_at", buckets=TARGET_BUCKETS) -> int:
+                   stamp_column="ingested_at", buckets=TARGET_BUCKETS, stored=False, late=None) -> int:
     """Upsert into a versioned table; returns the rows inserted or updated.
 
     Rows lie in ``buckets`` folders by a hash of the key, a number fixed when
     the table is created: choose it so that a bucket holds some gigabytes.
     The changed rows are found by key and hash alone and written once; only
     buckets that hold one of them are read as a whole and written again, and
-    without a change nothing is.
+    without a change nothing is.  A table without rows takes the source as it
+    is.  ``stored``: the source is read from a written table, so it is not
+    written aside where all of it is taken.  ``late`` adds columns that need
+    not be shuffled: to rows already dealt by key or bucket.
     """
+    late = late or (lambda rows: rows)
     marker = current_marker(spark, root) or {"buckets": {}}
     held = marker["buckets"]
     buckets = marker.get("count", buckets)
-    target = read_version(spark, root, schema)
     in_bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    changed, seen = materialize_counted(
-        changed_rows(target, source, key, policy, stamp=run_ts, stamp_column=stamp_column)
-        .withColumn(BUCKET, in_bucket), "changed-rows", rows=F.count(F.lit(1)), buckets=F.collect_set(BUCKET))
+    version = next_version(spark, root, load_id)
+    metrics = {"rows": F.count(F.lit(1)), "buckets": F.collect_set(BUCKET)}
+    if not held:
+        # Rebalancing gives a bucket one file, or several of even size where it is large.
+        dealt = late(source.filter(F.col(key).isNotNull()).withColumn(BUCKET, in_bucket).hint("rebalance", F.col(BUCKET)))
+        taken = taken_rows(dealt, schema, key, run_ts, stamp_column, [BUCKET])
+        seen = Observation("new-target")
+        write_aside(taken.observe(seen, *[c.alias(k) for k, c in metrics.items()]), root, version, [BUCKET])
+        written = read_paths(spark, [f"{root}/{version}"], schema)
+        got = observed(seen, lambda: written.withColumn(BUCKET, in_bucket).agg(
+            *[c.alias(k) for k, c in metrics.items()]).first().asDict())
+        if not got["rows"]:
+            remove(spark, f"{root}/{version}")
+            return 0
+        switch_version(spark, root, version, {str(b): version for b in got["buckets"]}, buckets)
+        return got["rows"]
+    if policy == "always":
+        changed = taken_rows(late(source), schema, key, run_ts, stamp_column).withColumn(BUCKET, in_bucket)
+    else:
+        target = read_version(spark, root, schema)
+        changed = changed_rows(target, late(source.repartition(key)), key, policy, stamp=run_ts, stamp_column=stamp_column).withColumn(BUCKET, in_bucket)
+    if policy == "always" and stored:
+        seen = changed.agg(*[c.alias(k) for k, c in metrics.items()]).first().asDict()
+    else:
+        changed, seen = materialize_counted(changed, "changed-rows", **metrics)
     # At most ``buckets`` numbers.
     touched = [str(b) for b in seen["buckets"] or []]
     if not touched:
         return 0
     old = read_paths(spark, [f"{root}/{held[b]}/{BUCKET}={b}" for b in touched if b in held], schema)
-    merged = replace_rows(old.withColumn(BUCKET, in_bucket), changed, key)
-    version = next_version(spark, root, load_id)
-    # Rebalancing gives a bucket one file, or several of even size where it is large.
+    if policy == "always":
+        # Often all rows are replaced: the keys that stay are found by keys alone.
+        stay = materialize(old.select(key).join(changed.select(key), key, "left_anti"), "kept-keys")
+        merged = old.join(stay, key, "left_semi").withColumn(BUCKET, in_bucket).select(*changed.columns).unionByName(changed)
+    else:
+        merged = replace_rows(old.withColumn(BUCKET, in_bucket), changed, key)
     write_aside(merged.hint("rebalance", F.col(BUCKET)), root, version, [BUCKET])
     switch_version(spark, root, version, {**held, **{b: version for b in touched}}, buckets)
     return seen["rows"]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from sluice.session import CODEC
 from sluice.sinks.archive import write_csv
 from sluice.sinks.tables import hadoop_path, path_exists
 
@@ -35,7 +36,7 @@ class Output:
         if self.kind == "csv":
             write_csv(self.df, path, self.order, self.hidden, mode="overwrite", partition_by=self.partition_by)
         else:
-            self.df.write.mode("overwrite").parquet(path)
+            self.df.write.option("compression", CODEC).mode("overwrite").parquet(path)
 
     def count(self, path) -> int:
         spark = self.df.sparkSession
@@ -227,7 +228,7 @@ def read_version(spark: SparkSession, root, schema) -> DataFrame:
 def write_aside(df: DataFrame, root, version, partition_by=()) -> str:
     """Write the rows of a version; nobody reads them yet."""
     path = f"{root}/{version}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.option("compression", CODEC).mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 

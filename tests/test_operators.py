@@ -280,3 +280,15 @@ def test_empty_input(spark):
 def test_jdbc_options():
     got = jdbc_options("jdbc:x", "claims", ["a", "b"], "a", 1, 100, 8)
     assert got["dbtable"] == "(select a, b from claims) source_rows" and got["numPartitions"] == "8"
+
+
+def test_mark_first_spreads_hot_keys(spark):
+    rows = [(k, t, i) for i, (k, t) in enumerate([("a", n % 7) for n in range(40)] + [("b", 1), ("b", 2), (None, 1), (None, 3), ("c", None)])]
+    df = spark.createDataFrame(rows, "k string, t int, row_id long")
+    plain = dedupe.mark_first(df, ["k"], [("t", "desc")])
+    hot = dedupe.mark_first(df, ["k"], [("t", "desc")], hot_rows=10)
+    want = {6, 41, 43, 44}
+    assert {r.row_id for r in plain.collect() if r.is_first} == want
+    assert {r.row_id for r in hot.collect() if r.is_first} == want and hot.columns == plain.columns and hot.count() == 45
+    # The rows of the hot key meet in no task: the window is by key and spread.
+    assert "_spread" in hot._jdf.queryExecution().executedPlan().toString()

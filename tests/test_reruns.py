@@ -164,3 +164,25 @@ def test_publish_survives_a_dead_driver(spark, folder, monkeypatch, dies_at):
     P.publish(spark, "M", outputs(new, 5))
     assert spark.read.parquet(f"{folder}/a/x").count() == 5 and spark.read.parquet(f"{folder}/b/y").count() == 5
     assert not P.take_back(spark, "M", outputs(new, 5))
+
+
+def test_a_merge_writes_no_hash_aside_and_a_rerun_no_rejects(spark, folder, monkeypatch):
+    tables, written = Tables(folder), []
+    for name in ("materialize", "materialize_counted"):
+        kept = getattr(M, name)
+        monkeypatch.setattr(M, name, lambda df, label, *a, kept=kept, **k: written.append((label, df.columns)) or kept(df, label, *a, **k))
+    rows = source(spark, claim(1), claim(2), claim(2, "6.50"), claim(3, "7.50"))
+    stage = M.source_checked(rows, AS_OF).drop("rejection_reason").selectExpr(
+        "cast(claim_id as string) claim_id", "cast(patient_id as string) patient_id", "cast(null as string) provider_id",
+        "diagnosis_code", "procedure_code", "amount", "service_date", "timestamp '2026-01-01' ingested_at",
+        "cast(null as string) record_hash", "monotonically_increasing_id() stg_claim_row_id")
+    stage = stage.withColumn("provider_id", M.F.expr("if(claim_id = '3', null, '10')"))
+    stage.write.parquet(f"{tables.stage}/load_id=L")
+    first = M.merge_load(spark, tables, "L", AS_OF, TS)
+    assert first == {"rejected_rows": 1, "rejected_total": 2, "upserted_rows": 2}
+    assert all("record_hash" not in columns for label, columns in written if label == "judged-stage")
+    written.clear()
+    assert M.merge_load(spark, tables, "L", AS_OF, TS) == {"rejected_rows": 0, "rejected_total": 2, "upserted_rows": 0}
+    assert "rejects" not in [label for label, _ in written]
+    kept = spark.read.parquet(tables.rejects).select("claim_id", "rejection_reason", "record_hash").collect()
+    assert {(r[0], r[1]) for r in kept} == {("3", "missing provider_id"), ("2", M.DUPLICATE_REASON)} and all(len(r[2]) == 32 for r in kept)
