@@ -140,18 +140,19 @@ def split_readable(documents: DataFrame, text="text"):
 
 
 def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
-                    fallback_text=None, document_id=None, keep_text=False, columns=DOCUMENT_COLUMNS) -> DataFrame:
+                    fallback_text=None, document_id=None, keep_text=False, columns=DOCUMENT_COLUMNS, readable_only=True) -> DataFrame:
     """The 19-column record of each document with text, or the ``columns`` of it.
 
     The same path has the same ``document_id`` in every run, so a second run
     updates its records.  Patterns run for the wanted columns only; the score
-    needs all of them.
+    needs all of them.  Without ``readable_only`` documents without text stay,
+    with a null ``full_text``.
     """
     scored = bool({"confidence_score", "needs_review"} & set(columns))
     fields = [n for n in FIELDS if scored or n in columns]
     classed = scored or "document_type" in columns
     raw = chosen_text("text", fallback_text)
-    base = documents.filter(F.col("text").isNotNull()).select(
+    base = (documents.filter(F.col("text").isNotNull()) if readable_only else documents).select(
         "file_path", "file_name",
         (document_id if document_id is not None else document_key("file_path")).alias("document_id"),
         method_label("text", fallback_text).alias("extraction_method"), raw.alias("_raw"),
@@ -177,9 +178,9 @@ def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
 def parse_labelled(documents: DataFrame, text="text", fallback_text=None) -> DataFrame:
     """(file_name, extraction_method, ten fields, raw_text_preview, full_text)."""
     label = method_label(text, fallback_text, weak="direct_pdf_text_failed_no_ocr")
-    base = documents.select(
-        "file_name", label.alias("extraction_method"),
-        normalize_text(chosen_text(text, fallback_text)).alias("full_text"))
+    base = compute_once(documents.select(
+        "file_name", label.alias("extraction_method"), chosen_text(text, fallback_text).alias("_raw")),
+        full_text=normalize_text("_raw"))
     fields = [c.alias(n) for n, c in ten_fields("full_text").items()]
     return base.select(
         "file_name", "extraction_method", *fields,

@@ -31,10 +31,10 @@ def write_csv(df: DataFrame, path, order=(), hidden=(), mode="errorifexists", pa
     csv_writer(out).partitionBy(*partition_by).mode(mode).csv(path)
 
 
-def write_json(df: DataFrame, path, mode="errorifexists") -> None:
+def write_json(df: DataFrame, path, mode="errorifexists", compression="none") -> None:
     """One JSON object per line and row; nulls are kept."""
-    df.write.option("ignoreNullFields", "false").mode(mode).json(path)
+    df.write.option("ignoreNullFields", "false").option("compression", compression).mode(mode).json(path)
 
 
-def write_summary(parsed: DataFrame, path, mode="errorifexists") -> None:
-    csv_writer(parsed.select(*DOCUMENT_COLUMNS)).mode(mode).csv(path)
+def write_summary(parsed: DataFrame, path, mode="errorifexists", compression="none") -> None:
+    csv_writer(parsed.select(*DOCUMENT_COLUMNS)).option("compression", compression).mode(mode).csv(path)

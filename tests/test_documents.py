@@ -119,3 +119,19 @@ def test_only_wanted_columns_are_parsed(spark):
 def test_filters_do_not_repeat_the_patterns(spark):
     plan = D.review_queue(D.parse_documents(docs(spark, NOTE), "r", "n"), "t")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Medical Record Number") == 1
+
+
+def test_a_run_writes_each_document_once_and_packs_its_archives(spark, folder, monkeypatch):
+    from pathlib import Path
+
+    from sluice.plans import documents as plan
+    written, kept = [], plan.materialize
+    monkeypatch.setattr(plan, "materialize", lambda df, label, *a: written.append((label, set(df.columns))) or kept(df, label, *a))
+    df = spark.createDataFrame([("n/1.txt", "1.txt", "Patient Name: Pat Low\nMRN: 5"), ("n/2.txt", "2.txt", None)], "file_path string, file_name string, text string")
+    got = run_documents(spark, df, f"{folder}/out", "r", "now", target=f"{folder}/target")
+    assert got == {"run_id": "r", "succeeded": 1, "failed": 1, "review_needed": 1, "upserted": 1}
+    assert [label for label, _ in written] == ["parsed-documents"] and not {"document_id", "raw_text_preview"} & written[0][1]
+    assert list(Path(folder, "out/parsed_json/r").glob("*.json.gz")) and list(Path(folder, "out/summaries").rglob("*.csv.gz"))
+    record = spark.read.json(f"{folder}/out/parsed_json/r").first()
+    assert record.raw_text_preview == record.full_text and len(record.document_id) == 64
+    assert {r.file_name: r.reason[:10] for r in spark.read.json(f"{folder}/out/quarantine/r").collect()} == {"1.txt": "Low confid", "2.txt": "Processing"}
