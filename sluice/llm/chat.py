@@ -5,7 +5,7 @@ context, and only its own text is trainable.  The formatted turns of a
 conversation are one stream, and an example's context is the stream up to the
 example's own turn; so an example is stored as that length with the formatted
 reply, and a conversation of n turns takes room for n turns, not for n squared.
-``with_context`` writes the contexts out.
+``with_context`` writes the contexts out, and ``report`` reads the loss from them.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -100,14 +100,14 @@ def parse_turns(turns: DataFrame) -> DataFrame:
     return turns.select("conv_id", "ordinal", unescape_role(role).alias("role"), unescape(text).alias("text"))
 
 
-def loss_texts(found: DataFrame) -> DataFrame:
-    """(conv_id, example, text) under the loss masks, unescaped."""
-    masked = F.expr("substring(reply, cast(loss_start - context_chars + 1 as int), cast(loss_end - loss_start as int))")
-    return found.select("conv_id", "example", unescape(masked).alias("text"))
+def loss_texts(expanded: DataFrame) -> DataFrame:
+    """(conv_id, example, text) under the loss masks of written-out examples (``with_context``), unescaped."""
+    masked = F.expr("substring(concat(context, reply), cast(loss_start + 1 as int), cast(loss_end - loss_start as int))")
+    return expanded.select("conv_id", "example", unescape(masked).alias("text"))
 
 
 def with_context(found: DataFrame, turns: DataFrame) -> DataFrame:
-    """(conv_id, example, context, reply) with written-out contexts.
+    """(conv_id, example, context, reply, loss_start, loss_end) with written-out contexts.
 
     The text of a conversation is joined once and every example takes a prefix
     of it; use it where conversations are short, as the output holds a turn
@@ -115,7 +115,7 @@ def with_context(found: DataFrame, turns: DataFrame) -> DataFrame:
     """
     stream = _joined(turns.select("conv_id", "ordinal", F.col("formatted").alias("piece")), "stream")
     same = found.conv_id.eqNullSafe(stream.conv_id)
-    return found.join(stream, same).select(found.conv_id, "example", F.expr("substring(stream, 1, cast(context_chars as int))").alias("context"), "reply")
+    return found.join(stream, same).select(found.conv_id, "example", F.expr("substring(stream, 1, cast(context_chars as int))").alias("context"), "reply", "loss_start", "loss_end")
 
 
 def _joined(pieces, name):
@@ -130,12 +130,14 @@ def report(conversations: DataFrame) -> DataFrame:
 
     A digest of a whole conversation needs its text in one value; the text is
     joined in chunks, so the last step takes one row per ``CHUNK`` turns.
-    formatted_chars counts the conversation's stream once.
+    formatted_chars counts the conversation's stream once.  The loss is read
+    from every example with its context before its reply; such a text lives in
+    its task only, none is kept.
     """
     turns = materialize(format_turns(conversations), "chat-formatted")
     back = parse_turns(turns)
     whole = back.select("conv_id", "ordinal", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("piece"), F.lit("").alias("loss"), F.lit(1).alias("n"))
-    under = loss_texts(examples(turns))
+    under = loss_texts(with_context(examples(turns), turns))
     loss = under.select("conv_id", F.col("example").alias("ordinal"), F.lit("").alias("piece"), F.col("text").alias("loss"), F.lit(0).alias("n"))
     rows = whole.unionByName(loss)
     ordered = lambda field, at: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, "n", field))), lambda x: x[field]), "")

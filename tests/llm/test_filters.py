@@ -273,3 +273,14 @@ def test_quality_languages_by_whole_code(spark):
     assert got == ["fil", "fi", "fi", "und", "und", "kok"]
     assert quality.languages(df, limit=2) == ["fi", "fil"]
     assert [r[0] for r in df.select(quality.language_key(F.col("lang"), ["fi"])).collect()] == ["und", "fi", "fi", "und", "und", "und"]
+
+
+def test_chat_loss_is_read_behind_the_context(spark, monkeypatch):
+    talks = spark.createDataFrame([(1, 0, "user", "a <| b"), (1, 1, "assistant", "one"), (1, 2, "user", "c"), (1, 3, "assistant", "two<|")],
+                                  "conv_id long, turn int, role string, text string")
+    seen, kept = [], chat.loss_texts
+    monkeypatch.setattr(chat, "loss_texts", lambda expanded: seen.append(expanded) or kept(expanded))
+    got = chat.report(talks).first()
+    assert (got.loss_chars, got.loss_sha256) == (8, hashlib.sha256(b"onetwo<|").hexdigest())
+    full = {r.example: r for r in seen[0].collect()}
+    assert full[3].context.count(chat.START) == 3 and (full[3].context + full[3].reply)[full[3].loss_start:full[3].loss_end] == "two<\\|"
