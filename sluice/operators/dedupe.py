@@ -7,7 +7,7 @@ rows of a key in one task.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sluice.operators.lookup import HOT_ROWS, hot_keys, key_counts, mark_listed, same_keys
-from sluice.session import materialize, truncate_lineage
+from sluice.session import truncate_lineage
 
 
 def flag_duplicates(df: DataFrame, keys, name="is_duplicate", hot_rows=HOT_ROWS) -> DataFrame:
@@ -24,13 +24,13 @@ def flag_duplicates_sized(df: DataFrame, keys, name="is_duplicate", max_broadcas
     """``flag_duplicates`` for a written table: counts the repeated keys first.
 
     Few repeated keys, the usual case, are broadcast after that check, and the
-    rows are not shuffled at all; many go the way that shuffles, whose result
-    is written once.
+    rows are not shuffled at all; many go the way that shuffles.  Write the
+    result once if it is read more than once.
     """
     keys = list(keys)
-    repeated = truncate_lineage(key_counts(df, keys).filter("key_rows > 1").select(*keys))
+    repeated = truncate_lineage(key_counts(df, keys).filter("key_rows > 1"))
     if repeated.count() > max_broadcast:
-        return materialize(flag_duplicates(df, keys, name), "flagged")
+        return mark_listed(df, repeated, keys, name)
     lookup = repeated.select(
         *[F.col(k).alias(f"_dup_{k}") for k in keys], F.lit(True).alias("_dup"))
     marked = df.join(F.broadcast(lookup), same_keys(keys, "_dup_"), "left")

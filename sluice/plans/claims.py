@@ -11,6 +11,7 @@ from sluice.model import (
     CLAIM_COLUMNS_LINES, CLAIM_COLUMNS_STRICT, CLAIMS_FILE_SCHEMA, FILE_PROCEDURE_CODES,
     STAGE_SCHEMA,
 )
+from sluice.operators.once import compute_once
 from sluice.operators.dedupe import flag_duplicates_sized, surrogate_id
 from sluice.operators.rules import (
     any_missing, broken_names, claim_rules, final_claim_types, rule_counts, type_claims,
@@ -19,7 +20,7 @@ from sluice.operators.schema import (
     check_names, normalize_columns, normalize_names, out_of_order, tag_load,
 )
 from sluice.operators.structural import REASONS, check_lines, split_fields
-from sluice.session import materialize
+from sluice.session import materialize, materialize_counted
 from sluice.sinks.publish import Output, publish
 from sluice.sources.delimited import read_typed_csv
 from sluice.sources.lines import first_line, read_lines
@@ -137,10 +138,11 @@ def typed_lines(lines: DataFrame, header, integers="numeric", keep_truncated=Tru
 
 
 def checked_claims(rows: DataFrame, as_of, integers="numeric", codes=FILE_PROCEDURE_CODES) -> DataFrame:
-    """Typed rows of a written table with ``reasons``; duplicates count per load."""
+    """Typed rows of a written table with ``reasons`` and ``is_clean``; duplicates count per load."""
     flagged = flag_duplicates_sized(rows, ["claim_id"])
     rules = claim_rules(as_of, integers, codes)
-    return flagged.withColumn("reasons", broken_names(rules)).drop("is_duplicate")
+    reasoned = compute_once(flagged, reasons=broken_names(rules)).drop("is_duplicate")
+    return reasoned.withColumn("is_clean", F.size("reasons") == 0)
 
 
 def load_claims_lines(spark: SparkSession, paths, stage_path, archive_path, load_id, as_of, run_ts,
@@ -160,17 +162,18 @@ def load_claims_lines(spark: SparkSession, paths, stage_path, archive_path, load
     rows = table.filter("is_row")
     bad_lines = table.filter(F.size("structural") > 0).select(
         "row_no", "line_number", F.explode("structural").alias("reason"), "raw_row")
-    checked = checked_claims(rows, as_of, integers, codes)
-    is_clean = F.size("reasons") == 0
+    # Flagged and judged once; the outputs read what was found, without the text.
+    checked, tally = materialize_counted(
+        checked_claims(rows.select("row_no", *CLAIM_COLUMNS_LINES), as_of, integers, codes), "checked-claims", ["is_clean"],
+        clean=F.count_if("is_clean"), bad=F.count_if(~F.col("is_clean")))
 
     counts = table.agg(
         F.count("*").alias("rows_read"), F.count_if("is_row").alias("structurally_clean"),
         F.sum(F.size("structural")).alias("structurally_bad"),
     ).first()
-    tally = checked.agg(F.count_if(is_clean).alias("clean"), F.count_if(~is_clean).alias("bad")).first()
 
-    clean = final_claim_types(checked.filter(is_clean))
-    bad = tag_load(checked.filter(~is_clean), load_id)
+    clean = final_claim_types(checked.filter("is_clean"))
+    bad = tag_load(checked.filter(~F.col("is_clean")), load_id)
     publish(spark, load_id, [
         Output(archive_path, f"invalid_records_{load_id}",
                bad.select(*CLAIM_COLUMNS_LINES, "load_id", "row_no"), tally["bad"], "csv", ("row_no",), ("row_no",)),

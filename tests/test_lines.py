@@ -95,3 +95,21 @@ def test_clean_keeps_empty_fields(spark):
     row = clean.first()
     assert row["claim_amount"] == "" and row["diagnosis_code"] == ""
     assert clean.filter(F.col("claim_amount").isNull()).count() == 0
+
+
+def test_a_line_load_judges_its_rows_once(spark, folder, monkeypatch):
+    from pathlib import Path
+
+    from sluice.plans import claims as plan
+    written = []
+    for name in ("materialize", "materialize_counted"):
+        kept = getattr(plan, name)
+        monkeypatch.setattr(plan, name, lambda df, label, *a, kept=kept, **k: written.append((label, set(df.columns))) or kept(df, label, *a, **k))
+    lines = ["provider_id,claim_amount,claim_id,service_date,patient_id,procedure_code,diagnosis_code",
+             "7,5.50,1,2025-06-22,9,99213,E11", "7,5.50,2,2025-06-22,9,99213,E11", "7,6.50,2,2025-06-22,9,99213,E11", "7,-1,3,2025-06-22,9,99213,E11", "short,1"]
+    Path(folder, "in.csv").write_text("\n".join(lines) + "\n")
+    got = plan.load_claims_lines(spark, f"{folder}/in.csv", f"{folder}/stage", f"{folder}/archive", "L", "2025-12-31", "2026-01-01 00:00:00", count_rules=True)
+    assert (got["rows_loaded"], got["business_bad"], got["structurally_bad"]) == (1, 3, 1)
+    assert got["rules"] == {"duplicate claim_id": 2, "negative claim_amount": 1}
+    assert [label for label, _ in written] == ["claim-lines", "checked-claims"]
+    assert "reasons" in written[1][1] and "raw_row" not in written[1][1]
