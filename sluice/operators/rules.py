@@ -5,6 +5,7 @@ broken, so rules on missing values say so themselves.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -141,11 +142,19 @@ def final_claim_types(df: DataFrame) -> DataFrame:
 
 
 def integer_cleanup(df: DataFrame, columns=INTEGER_COLUMNS):
-    """(clean with bigint columns, bad): every listed column digits only."""
-    good = F.lit(True)
+    """(clean with bigint columns, bad): every listed column digits only.
+
+    Every column is stripped once and tested once, each in a step of its own,
+    so that the generated code stays small enough to be compiled.
+    """
+    tested = df
+    for c in columns:
+        tested = compute_once(tested, **{f"_bare_{c}": strip(F.col(c).cast("string"))})
     for c in columns:
-        good = good & K.is_digits(c)
-    return df.filter(good).withColumns({c: K.to_digits(c) for c in columns}), df.filter(~good)
+        tested = compute_once(tested, **{f"_ok_{c}": K.is_digits(f"_bare_{c}", True)})
+    good = reduce(lambda a, b: a & b, [F.col(f"_ok_{c}") for c in columns])
+    clean = tested.filter(good).withColumns({c: F.col(f"_bare_{c}").try_cast("bigint") for c in columns})
+    return clean.select(*df.columns), tested.filter(~good).select(*df.columns)
 
 
 # -- source table -----------------------------------------------------------
