@@ -103,15 +103,13 @@ def nine_fields(text) -> dict:
     return {name: first_capture(text, pattern) for name, pattern in FIELD_PATTERNS.items()}
 
 
-def ten_fields(text) -> dict:
-    """The labelled variant; an empty capture gives way to the next pattern."""
-    out = {}
-    for name, patterns in LABELLED_PATTERNS.items():
-        tries = [first_capture(text, p, "im" if p.startswith("^") else "i") for p in patterns]
-        if len(tries) > 1:
-            tries = [F.when(t != "", t) for t in tries[:-1]] + tries[-1:]
-        out[name] = F.coalesce(*tries)
-    return out
+def _flags(pattern) -> str:
+    return "im" if pattern.startswith("^") else "i"
+
+
+def _first_filled(tries) -> Column:
+    """An empty capture gives way to the next pattern's."""
+    return F.coalesce(*[F.when(t != "", t) for t in tries[:-1]], tries[-1])
 
 
 def confidence(document_type="document_type", fields=FIELDS) -> Column:
@@ -181,9 +179,13 @@ def parse_labelled(documents: DataFrame, text="text", fallback_text=None) -> Dat
     base = compute_once(documents.select(
         "file_name", label.alias("extraction_method"), chosen_text(text, fallback_text).alias("_raw")),
         full_text=normalize_text("_raw"))
-    fields = [c.alias(n) for n, c in ten_fields("full_text").items()]
-    return base.select(
-        "file_name", "extraction_method", *fields,
+    record = base.select("file_name", "extraction_method", "full_text")
+    # Each pattern runs once per text; a capture is looked at several times.
+    record = compute_once(record, **{
+        f"_{name}_{i}": capture("full_text", p, _flags(p)) for name, patterns in LABELLED_PATTERNS.items() for i, p in enumerate(patterns)})
+    fields = {name: _first_filled([captured(f"_{name}_{i}") for i in range(len(patterns))]) for name, patterns in LABELLED_PATTERNS.items()}
+    return record.select(
+        "file_name", "extraction_method", *[c.alias(name) for name, c in fields.items()],
         cut("full_text", PREVIEW_CHARS).alias("raw_text_preview"), "full_text")
 
 

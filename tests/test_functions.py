@@ -99,3 +99,26 @@ def test_row_text(spark):
     df = spark.createDataFrame([(["a", None, "c"],)], "v array<string>")
     assert df.select(row_text("v")).first()[0] == "a,nan,c"
     assert df.select(F.size("v")).first()[0] == 3
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_integer_cleanup_tests_each_column_once(spark):
+    from sluice.operators import rules
+
+    df = spark.createDataFrame([(" 1 ", "2", "3", "4"), ("1.0", "2", "3", "4"), ("1", None, "3", "4")], "claim_id string, patient_id string, provider_id string, procedure_code string")
+    good, bad = rules.integer_cleanup(df)
+    assert [tuple(r) for r in good.collect()] == [(1, 2, 3, 4)] and bad.count() == 2 and bad.columns == good.columns == df.columns
+    assert _optimized(good).count("RLIKE") == 4
+
+
+def test_labelled_fields_run_each_pattern_once(spark):
+    from sluice.operators import documents as D
+
+    df = spark.createDataFrame([("a", "Patient Name: Pat Low\nMRN: 5"), ("b", "Name: Jo"), ("c", "Consult Note\n")], "file_name string, text string")
+    parsed = D.parse_labelled(df)
+    assert {r.file_name: (r.patient_name, r.mrn, r.document_type) for r in parsed.collect()} == {
+        "a": ("Pat Low", "5", None), "b": ("Jo", None, None), "c": (None, None, "Consult Note")}
+    assert _optimized(parsed).count("regexp_extract(") == sum(len(p) for p in D.LABELLED_PATTERNS.values())
