@@ -7,7 +7,6 @@ from sluice.catalog.views import EARLY, NOTES_SRC, duck, notes_src, table
 from sluice.functions.text import WHITE_RANGES, normalize_text
 from sluice.operators import documents as D
 from sluice.operators.merge import upsert
-from sluice.operators.once import compute_once
 from sluice.plans.documents import run_documents
 from sluice.session import fresh_folder
 
@@ -81,7 +80,7 @@ def text_normalize(spark, sf_dir):
 select doc_id, {_class('full_text', False)} document_type from docs""")
 def document_classify(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    texts = compute_once(docs.select("doc_id", "text"), full_text=normalize_text("text"))
+    texts = D.with_normal_text(docs.select("doc_id", "text"), "text")
     return texts.select("doc_id", D.classify("full_text", parity=False).alias("document_type"))
 
 

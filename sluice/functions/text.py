@@ -53,10 +53,15 @@ def first_capture(c, pattern: str, flags: str = "i") -> Column:
 
 def normalize_text(c) -> Column:
     """Carriage returns to line feeds, runs of blanks or line feeds to one, strip."""
+    return strip(even_blanks(c))
+
+
+def even_blanks(c) -> Column:
+    """``normalize_text`` without its last step: a strip looks at its text several times, so make this a column before."""
     lines = F.replace(column(c), F.lit("\r"), F.lit("\n"))
     # Tabs as blanks first, so that the pattern has to look at longer runs only.
     blanks = F.regexp_replace(F.replace(lines, F.lit("\t"), F.lit(" ")), " {2,}", " ")
-    return strip(F.regexp_replace(blanks, r"\n{2,}", "\n"))
+    return F.regexp_replace(blanks, r"\n{2,}", "\n")
 
 
 def cut(c, n: int) -> Column:

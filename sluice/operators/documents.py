@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.hashing import document_key
 from sluice.functions.text import (
-    capture, captured, column, cut, first_capture, normalize_text, strip,
+    capture, captured, column, cut, even_blanks, first_capture, strip,
 )
 from sluice.model import (
     CLASSIFIED_BONUS, DIRECT_TEXT_MIN_CHARS, DOCUMENT_COLUMNS, PREVIEW_CHARS, REVIEW_BELOW,
 )
-from sluice.operators.once import compute_once
+from sluice.operators.once import compute_in_steps, compute_once
 
 # Document classes in test order, each with its patterns.
 CLASS_PATTERNS = [
@@ -137,6 +137,11 @@ def split_readable(documents: DataFrame, text="text"):
     return documents.filter(F.col(text).isNotNull()), failed
 
 
+def with_normal_text(df: DataFrame, text, name="full_text") -> DataFrame:
+    """Add ``normalize_text(text)``, made once per row: its patterns first, then the strip."""
+    return compute_once(compute_once(df, _even=even_blanks(text)), **{name: strip("_even")}).drop("_even")
+
+
 def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
                     fallback_text=None, document_id=None, keep_text=False, columns=DOCUMENT_COLUMNS, readable_only=True) -> DataFrame:
     """The 19-column record of each document with text, or the ``columns`` of it.
@@ -156,17 +161,17 @@ def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
         method_label("text", fallback_text).alias("extraction_method"), raw.alias("_raw"),
     )
     if fields or classed or keep_text or "raw_text_preview" in columns:
-        base = compute_once(base, full_text=normalize_text("_raw"))
+        base = with_normal_text(base, "_raw")
     made = {f"_{n}": capture("full_text", FIELD_PATTERNS[n]) for n in fields}
     if classed:
         base = base.withColumn("_lowered", F.lower("full_text"))
         made["document_type"] = classify_lowered(F.col("_lowered"), parity)
-    record = compute_once(base, **made) if made else base
-    record = record.withColumns({
-        **{n: captured(f"_{n}") for n in fields},
-        "run_id": F.lit(run_id), "processed_at": F.lit(str(processed_at))})
+    record = compute_in_steps(base, **made)
+    # The score looks at every field: stripped once, not once more for the score.
+    record = compute_in_steps(record, **{n: captured(f"_{n}") for n in fields})
+    record = record.withColumns({"run_id": F.lit(run_id), "processed_at": F.lit(str(processed_at))})
     if scored:
-        record = record.withColumn("confidence_score", confidence())
+        record = compute_once(record, confidence_score=confidence())
         record = record.withColumn("needs_review", needs_review())
     if "raw_text_preview" in columns:
         record = record.withColumn("raw_text_preview", cut("full_text", PREVIEW_CHARS))
@@ -176,9 +181,8 @@ def parse_documents(documents: DataFrame, run_id, processed_at, parity=True,
 def parse_labelled(documents: DataFrame, text="text", fallback_text=None) -> DataFrame:
     """(file_name, extraction_method, ten fields, raw_text_preview, full_text)."""
     label = method_label(text, fallback_text, weak="direct_pdf_text_failed_no_ocr")
-    base = compute_once(documents.select(
-        "file_name", label.alias("extraction_method"), chosen_text(text, fallback_text).alias("_raw")),
-        full_text=normalize_text("_raw"))
+    base = with_normal_text(documents.select(
+        "file_name", label.alias("extraction_method"), chosen_text(text, fallback_text).alias("_raw")), "_raw")
     record = base.select("file_name", "extraction_method", "full_text")
     # Each pattern runs once per text; a capture is looked at several times.
     record = compute_once(record, **{

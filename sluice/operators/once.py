@@ -17,3 +17,15 @@ def compute_once(df: DataFrame, **columns) -> DataFrame:
     order = df.columns + [n for n in columns if n not in df.columns]
     return out.select(*[
         F.col(f"_once_{n}").alias(n) if n in columns else F.col(n) for n in order])
+
+
+def compute_in_steps(df: DataFrame, **columns) -> DataFrame:
+    """As ``compute_once``, each column in a step of its own; none may use another.
+
+    The generated code of a step is a method of its own.  One method for many
+    conversions or patterns outgrows what the JVM compiles (8000 bytes), and
+    is then interpreted for every row.
+    """
+    for name, made in columns.items():
+        df = compute_once(df, **{name: made})
+    return df
