@@ -180,8 +180,8 @@ _SOURCE_REASON = f"""nullif(concat_ws('; ',
 
 
 def _with_source_reason(df):
-    names = rules.broken_names(rules.source_rules(AS_OF))
-    return df.withColumn("reasons", names).withColumn("rejection_reason", rules.joined_reasons())
+    checks = rules.source_rules(AS_OF)
+    return df.withColumns({"reasons": rules.broken_names(checks), "rejection_reason": rules.reasons_text(checks)})
 
 
 @query(f"with {TYPED} select {SHOWN_SQL}, {ON_DAY}, {_SOURCE_REASON} rejection_reason from hashed")

@@ -16,7 +16,7 @@ from sluice.model import (
     TARGET_PROCEDURE_CODES,
 )
 from sluice.operators.lookup import rows_without
-from sluice.operators.once import compute_once
+from sluice.operators.once import compute_in_steps, compute_once
 
 
 @dataclass(frozen=True)
@@ -43,6 +43,11 @@ def joined_reasons(reasons="reasons") -> Column:
     return F.when(F.size(column(reasons)) > 0, F.array_join(column(reasons), "; "))
 
 
+def reasons_text(rules) -> Column:
+    """``joined_reasons(broken_names(rules))`` without the array, whose compaction is interpreted for every row."""
+    return F.nullif(F.concat_ws("; ", *[F.when(r.broken, F.lit(r.name)) for r in rules]), F.lit(""))
+
+
 def any_missing(columns) -> Column:
     test = F.lit(False)
     for c in columns:
@@ -172,7 +177,7 @@ def type_source(df: DataFrame) -> DataFrame:
     def whole(c):
         return F.col(c).cast("bigint") if kinds[c] in ("int", "bigint") else K.to_whole(c, kinds[c] == "string")
 
-    return compute_once(
+    return compute_in_steps(
         stripped, claim_id=whole("claim_id"), patient_id=whole("patient_id"),
         provider_id=whole("provider_id"), amount=K.to_amount("amount"),
         service_date=F.col("service_date") if kinds["service_date"] == "date" else K.to_day("service_date", kinds["service_date"] == "string"))

@@ -15,7 +15,7 @@ from sluice.operators.merge import (
     taken_rows,
 )
 from sluice.operators.quarantine import quarantine_rows
-from sluice.operators.rules import broken_names, is_target_valid, joined_reasons, source_rules, type_source
+from sluice.operators.rules import is_target_valid, reasons_text, source_rules, type_source
 from sluice.operators.schema import check_schema
 from sluice.plans.claims import stage_output
 from sluice.session import materialize, materialize_counted, observed
@@ -46,7 +46,7 @@ class Tables:
 def source_checked(source: DataFrame, as_of) -> DataFrame:
     """Typed source rows with ``rejection_reason``, null for a good row."""
     typed = type_source(check_schema(source.select(*[c for c in source.columns if c != "row_id"]), SOURCE_COLUMNS))
-    return typed.withColumn("rejection_reason", joined_reasons(broken_names(source_rules(as_of))))
+    return typed.withColumn("rejection_reason", reasons_text(source_rules(as_of)))
 
 
 # The extract is ordered by key; further columns make the order a full one.
