@@ -153,6 +153,8 @@ def rejects_insert_ignore(spark, sf_dir):
     rejected = merge.invalid_rejects(hashed_claims(spark, sf_dir), AS_OF).select(
         F.when(F.col("diagnosis_code").isNotNull(), F.col("claim_id")).alias("reject_key"),
         "rejection_reason", "ingested_at")
+    # Used three times: typed and judged once.
+    rejected = materialize(rejected, "rejected")
     known = rejected.filter(F.col("ingested_at") < EARLY)
     fresh = merge.insert_ignore(known, rejected, ["reject_key", "rejection_reason"])
     return fresh.select("reject_key", "rejection_reason")

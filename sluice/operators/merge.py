@@ -130,11 +130,16 @@ def action_counts(merged: DataFrame) -> DataFrame:
 def insert_ignore(existing: DataFrame, new: DataFrame, keys) -> DataFrame:
     """The rows of ``new`` whose keys are in neither ``existing`` nor earlier in ``new``.
 
-    A key with a null never conflicts; such rows skip the join, where they
-    would all meet in one task.
+    A key with a null never conflicts; such rows are passed on.  The others
+    meet the existing keys in one aggregate, combined before its shuffle; of
+    the rows of a key any one is kept whole.
     """
     keys = list(keys)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    known = existing.select(*keys).filter(complete)
-    fresh = new.filter(complete).dropDuplicates(keys).join(known, keys, "left_anti")
+    rest = [c for c in new.columns if c not in keys]
+    both = new.filter(complete).withColumn("_known", F.lit(False)).unionByName(
+        existing.filter(complete).select(*keys, F.lit(True).alias("_known")), allowMissingColumns=True)
+    # A key without an existing row has rows of ``new`` only, and each first is that of the same row.
+    groups = both.groupBy(*keys).agg(F.max("_known").alias("_known"), *[F.first(c).alias(c) for c in rest])
+    fresh = groups.filter(~F.col("_known"))
     return fresh.select(*new.columns).unionByName(new.filter(~complete))
