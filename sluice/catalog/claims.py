@@ -395,10 +395,11 @@ ranked as (select *, row_number() over (partition by claim_id order by ingested_
   record_hash nulls last) rn from judged where rejection_reason is null)
 select {SHOWN_SQL}, {ON_DAY}, rn = 1 is_first from ranked""")
 def dup_keep_first(spark, sf_dir):
-    judged = _with_source_reason(hashed_claims(spark, sf_dir, row_id=True))
+    judged = _with_source_reason(typed_claims(spark, sf_dir, row_id=True)).drop("reasons")
     good = judged.filter(F.col("rejection_reason").isNull())
     order = [("ingested_at", "asc"), ("record_hash", "asc")]
-    return shown(dedupe.mark_first(good, ["claim_id"], order), "is_first")
+    # The hash is made of the row's own columns: after the shuffle, not sent through it.
+    return shown(dedupe.mark_first(good, ["claim_id"], order, late=merge.add_hash), "is_first")
 
 
 @query("""select o_custkey, o_orderkey, cast(o_orderdate as date) order_day from (

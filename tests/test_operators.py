@@ -320,3 +320,11 @@ def test_insert_ignore_compares_in_one_aggregate(spark):
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     rows = sorted((tuple(r) for r in got.collect()), key=str)
     assert len(rows) == 2 and rows[0][0] in (2, None) and {r[2:] for r in rows if r[0] == 2} <= {("y", 2), ("z", 3)}
+
+
+def test_the_hash_is_made_after_the_shuffle(spark):
+    from sluice.catalog import QUERIES
+
+    plan = QUERIES["dup_keep_first"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # The plan is a tree: what is made after the shuffle stands above it.
+    assert plan.index("md5(") < plan.index("RepartitionByExpression")
