@@ -311,8 +311,10 @@ def _process_chunks(spark, source, tables, load_id, as_of, at, policy, hash_mode
 
         bad = split.filter(~F.col("is_kept"))
         chunk_file = F.concat(F.lit(f"{load_id}_chunk_"), F.format_string("%05d", F.col("chunk")), F.lit("_bad_rows"))
+        # Dealt by chunk: a chunk has one file, not one per task.
         files = Output(
-            tables.quarantine_files, f"{load_id}_bad_rows", bad.select(*SOURCE_COLUMNS, "rejection_reason", chunk_file.alias("chunk_file")),
+            tables.quarantine_files, f"{load_id}_bad_rows",
+            bad.repartition("chunk").select(*SOURCE_COLUMNS, "rejection_reason", chunk_file.alias("chunk_file")),
             quarantined, "csv", partition_by=("chunk_file",))
         rows_out = publish(spark, load_id, [
             files,
