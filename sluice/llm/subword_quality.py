@@ -91,19 +91,22 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             return up[e - 1] * (prefix[e] - prefix[s])
 
         # Code points begin at every byte that is not a continuation byte.
-        begins = np.flatnonzero((marked & 0xC0) != 0x80)
-        word_of = np.searchsorted(marked_offsets, begins, "right") - 1
-        chars = np.bincount(word_of, minlength=n)
+        is_begin = (marked & 0xC0) != 0x80
+        begins = np.flatnonzero(is_begin)
+        chars = np.add.reduceat(is_begin, marked_offsets[:-1], dtype=np.int64)
+        word_of = np.repeat(np.arange(n), chars)
         first_char = np.concatenate([[0], np.cumsum(chars)])
         # A sentinel begin at each word's end, so that char i + k of a word is found by index.
         bounds = np.insert(begins, first_char[1:], marked_offsets[1:])
         shifted = first_char[:-1] + np.arange(n)
         index_in_word = np.arange(len(begins)) - np.repeat(first_char[:-1], chars)
         at = np.repeat(shifted, chars) + index_in_word
+        chars_left = np.repeat(chars, chars) - index_in_word
         out_w, out_b = [np.arange(n)], [_bucket(span_hash(marked_offsets[:-1] + 1, marked_offsets[1:] - 1) ^ _WORD_SALT)]
         for k in range(MIN_N, MAX_N + 1):
-            ok = index_in_word + k <= np.repeat(chars, chars)
-            s, e = bounds[at[ok]], bounds[at[ok] + k]
+            ok = np.flatnonzero(chars_left >= k)
+            here = at[ok]
+            s, e = bounds[here], bounds[here + k]
             out_w.append(word_of[ok])
             out_b.append(_bucket(span_hash(s, e) ^ np.uint64(k)))
     w, b = np.concatenate(out_w), np.concatenate(out_b)
@@ -134,7 +137,8 @@ def segment_sums(table, index, starts, chunk=1 << 16) -> np.ndarray:
         cuts = np.unique(np.concatenate([[a], starts[(starts > a) & (starts < b)]]))
         # The segment that holds a cut is the last one starting there (empty segments start there too).
         holder = np.searchsorted(starts, cuts, "right") - 1
-        np.add.at(out, holder, np.add.reduceat(table[index[a:b]], cuts - a, axis=0, dtype=np.float64))
+        # Cuts differ, and so do the segments that hold them.
+        out[holder] += np.add.reduceat(table.take(index[a:b], axis=0), cuts - a, axis=0, dtype=np.float64)
     return out
 
 
@@ -191,7 +195,8 @@ def sgd_epoch(embedding: np.ndarray, touched: np.ndarray, weights, bias, data, o
             index = np.repeat(feature_start[word] - np.concatenate([[0], np.cumsum(per)[:-1]]), per) + np.arange(int(per.sum()))
             buckets, where = np.unique(fb[index], return_inverse=True)
             weight = np.bincount(where, np.repeat(times, per), minlength=len(buckets)) / float((times * per).sum())
-            h = weight @ embedding[buckets]
+            rows = embedding[buckets]
+            h = weight @ rows
         else:
             buckets, h = (), np.zeros(weights.shape[1])
         logits = weights @ h + bias
@@ -202,7 +207,7 @@ def sgd_epoch(embedding: np.ndarray, touched: np.ndarray, weights, bias, data, o
         weights -= rates[r] * np.outer(p, h)
         bias -= rates[r] * p
         if len(buckets):
-            embedding[buckets] -= rates[r] * weight[:, None] * grad_h[None, :]
+            embedding[buckets] = rows - rates[r] * weight[:, None] * grad_h[None, :]
             touched[buckets] = True
     return weights, bias
 

@@ -89,3 +89,19 @@ def test_learns_junk_on_held_out_rows(spark):
     right = sum(r.predicted == r.quality for r in held)
     base = max(sum(r.quality for r in held), sum(1 - r.quality for r in held))
     assert right > base and right >= 0.95 * len(held)
+
+
+def test_a_training_step_gathers_its_rows_once():
+    """Gathering the embedding's rows is the cost of a step: once for the vector and the update."""
+    class Counted(np.ndarray):
+        gathers = 0
+
+        def __getitem__(self, key):
+            Counted.gathers += isinstance(key, np.ndarray)
+            return np.asarray(self)[key]
+
+    model = sq.initial_model()
+    embedding = model.embedding.astype(np.float64)
+    data, offsets = flat(pa.array(["a good text", "", "bad bad text"]))
+    weights, bias = sq.sgd_epoch(embedding.view(Counted), np.zeros(len(embedding), bool), model.weights, model.bias, data, offsets, np.array([1, 0, 0]), np.ones(3))
+    assert Counted.gathers == 2 and not np.array_equal(embedding, model.embedding) and np.isfinite(weights).all() and np.isfinite(bias).all()
