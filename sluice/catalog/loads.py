@@ -14,7 +14,7 @@ from sluice.operators.audit import rejects_per_load
 from sluice.operators.dedupe import surrogate_id
 from sluice.plans.claims import load_claims_lines, load_claims_strict
 from sluice.plans.migration import Tables, audit_state, merge_load, process_claims
-from sluice.session import fresh_folder
+from sluice.session import CODEC, fresh_folder
 from sluice.sinks.publish import read_version
 from sluice.sinks.tables import hadoop_path, read_load_table, write_load
 from sluice.sources.tables import read_table
@@ -181,7 +181,7 @@ def _migrate(spark, sf_dir, loads=(("load-1", EARLY, "2000-01-01 00:00:00"), ("l
     for load_id, before, run_ts in loads:
         rows = claims.filter(F.col("ingested_at") < before) if before else claims
         path = f"{tables.root}/source-{load_id}"
-        rows.drop("ingested_at").write.parquet(path)
+        rows.drop("ingested_at").write.option("compression", CODEC).parquet(path)
         result = process_claims(spark, read_table(spark, path), tables, load_id, AS_OF, run_ts, chunk_size=chunk_size)
         if result["status"] != "SUCCESS":
             raise RuntimeError(result["error"])

@@ -7,7 +7,7 @@ rows of a key in one task.
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sluice.operators.lookup import HOT_ROWS, hot_keys, key_counts, mark_listed, same_keys
-from sluice.session import truncate_lineage
+from sluice.session import materialize, truncate_lineage
 
 
 def flag_duplicates(df: DataFrame, keys, name="is_duplicate", hot_rows=HOT_ROWS) -> DataFrame:
@@ -91,6 +91,30 @@ def mark_first(df: DataFrame, keys, order, row_id="row_id", name="is_first", lat
     return dealt.select(*shown, first.alias(name))
 
 
+def part_repeated(df: DataFrame, keys, max_broadcast=500_000, share=0.05):
+    """(rows of keys that occur once, all rows of keys that repeat); (None, ``df``) where many keys repeat.
+
+    Only the rows of repeated keys need a ranking, so few of them leave the
+    other rows where they lie.  An estimate from one scan tells whether more
+    than ``share`` of the rows repeat a key; if not, the keys' 64-bit hashes,
+    and nothing else, are shuffled and the repeated ones broadcast.  Keys of
+    one hash count as repeated, which only sends them to the ranking.  ``df``
+    is read several times: pass a scan or a materialised frame.
+    """
+    code = F.xxhash64(*keys)
+    guess = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(code, 0.01).alias("codes")).first()
+    if guess["rows"] - guess["codes"] > share * guess["rows"]:
+        return None, df
+    # Dealt before they are counted: combining hashes that hardly repeat would only cost a task's memory.
+    repeated = materialize(
+        df.select(code.alias("_code")).repartition("_code").groupBy("_code").agg(F.count(F.lit(1)).alias("code_rows"))
+        .filter("code_rows > 1").select("_code"), "repeated-keys")
+    if repeated.count() > max_broadcast:
+        return None, df
+    same = code == F.col("_code")
+    return df.join(F.broadcast(repeated), same, "left_anti"), df.join(F.broadcast(repeated), same, "left_semi")
+
+
 def surrogate_id(df: DataFrame, name="stg_claim_row_id") -> DataFrame:
     """Number rows for a table that is written next.
 

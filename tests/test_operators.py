@@ -328,3 +328,18 @@ def test_the_hash_is_made_after_the_shuffle(spark):
     plan = QUERIES["dup_keep_first"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     # The plan is a tree: what is made after the shuffle stands above it.
     assert plan.index("md5(") < plan.index("RepartitionByExpression")
+
+
+def test_rows_of_repeated_keys_are_parted(spark):
+    df = spark.createDataFrame([(i, None if i in (3, 4) else f"k{min(i, 98)}") for i in range(100)], "row_id int, k string")
+    single, shared = dedupe.part_repeated(df, ["k"])
+    assert {r.row_id for r in shared.collect()} == {3, 4, 98, 99}
+    assert sorted(r.row_id for r in single.collect()) == [i for i in range(98) if i not in (3, 4)]
+    # Many repeated keys, by share or by number, are left to the ranking of all rows.
+    for few in ({"share": 0.01}, {"max_broadcast": 1}):
+        single, shared = dedupe.part_repeated(df, ["k"], **few)
+        assert single is None and shared.count() == 100
+    single, shared = dedupe.part_repeated(df.filter("row_id < 3"), ["k"])
+    assert (single.count(), shared.count()) == (3, 0)
+    single, shared = dedupe.part_repeated(df.filter("row_id < 0"), ["k"])
+    assert (single.count(), shared.count()) == (0, 0)
